@@ -43,11 +43,19 @@ def cues_from_table(table: DataFrame) -> dict[str, tuple[str, ...]]:
     return {category: tuple(cues) for category, cues in grouped.items()}
 
 
-def cue_pattern(cues: Sequence[str]) -> str:
-    """Whole-word, case-insensitive pattern of the cues; matches nothing if empty."""
+NOT_WORD = r"[^\p{L}\p{N}]"
+
+
+def cue_words(cues: Sequence[str]) -> str:
+    """Alternatives of the cues; matches nothing if there are none."""
     if not cues:
         return r"[^\s\S]"
-    return r"(?i)\b(?:" + "|".join(re.escape(c).replace(r"\ ", " ") for c in cues) + r")\b"
+    return "(?:" + "|".join(re.escape(c).replace(r"\ ", " ") for c in cues) + ")"
+
+
+def cue_pattern(cues: Sequence[str]) -> str:
+    """A cue as whole words of any script, ignoring case."""
+    return rf"(?i)(?:^|{NOT_WORD}){cue_words(cues)}(?:$|{NOT_WORD})"
 
 
 def parse_header(transcripts: DataFrame, text: str = "transcript") -> DataFrame:
@@ -80,7 +88,9 @@ def structure(
     The rationale is the clause from the first cue on in the decision's sentence,
     else the next sentence if that one starts with a cue.
     """
-    why = cue_pattern(cues.get("rationale", ()))
+    why = cue_words(cues.get("rationale", ()))
+    clause = rf"(?i)(?:^|{NOT_WORD})({why}(?:{NOT_WORD}.*)?)$"
+    opening = rf"(?i)^{why}(?:$|{NOT_WORD})"
     empty = F.array().cast("array<string>")
     with_parts = transcripts.withColumn("_sentences", F.coalesce(sentences(F.col(text)), empty))
     said = F.col("_sentences")
@@ -91,8 +101,8 @@ def structure(
 
     def rationale(sentence: Column, at: Column) -> Column:
         following = F.get(F.col("_sentences"), at + 1)
-        same = F.regexp_extract(sentence, why + r".*", 0)
-        after = F.when(following.rlike(r"^(?:" + why + ")"), following)
+        same = F.regexp_extract(sentence, clause, 1)
+        after = F.when(following.rlike(opening), following)
         return F.coalesce(F.nullif(same, F.lit("")), after)
 
     decided = cue_pattern(cues.get("decisions", ()))
