@@ -33,30 +33,23 @@ def counted(values: Column) -> Column:
     """array<T> to array<struct<value:T, n:int>>, sorted by value.
 
     Equal values are neighbours after sorting, so a value's count is the distance
-    between its first position and the next value's.
+    between its first position and the next value's. One sort and linear passes.
     """
 
     def over_sorted(ordered: Column) -> Column:
-        def over_distinct(distinct: Column) -> Column:
-            starts = F.transform(distinct, lambda v: F.array_position(ordered, v))
-
-            def over_starts(first: Column) -> Column:
-                return F.transform(
-                    distinct,
-                    lambda v, i: F.struct(
-                        v.alias("value"),
-                        (
-                            F.coalesce(F.get(first, i + 1), F.size(ordered) + F.lit(1))
-                            - F.get(first, i)
-                        )
-                        .cast("int")
-                        .alias("n"),
-                    ),
-                )
-
-            return let(starts, over_starts)
-
-        return let(F.array_distinct(ordered), over_distinct)
+        positions = F.transform(ordered, lambda v, i: i)
+        starts = F.filter(positions, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+
+        def over_starts(first: Column) -> Column:
+            return F.transform(
+                first,
+                lambda s, j: F.struct(
+                    F.get(ordered, s).alias("value"),
+                    (F.coalesce(F.get(first, j + 1), F.size(ordered)) - s).alias("n"),
+                ),
+            )
+
+        return let(starts, over_starts)
 
     return let(F.sort_array(values), over_sorted)
 

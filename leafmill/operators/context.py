@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.columns import file_name, snippet
 from leafmill.functions.text import counted
-from leafmill.operators.keyword import DEFAULT_K, ranked
+from leafmill.operators.topk import DEFAULT_K, ranked
 
 # The layout of a context block and the text for no hits.
 BLOCK_SEPARATOR = "\n\n---\n\n"

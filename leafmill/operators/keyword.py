@@ -1,39 +1,50 @@
 """Keyword index over chunks and exact top-k by BM25.
 
-The index is two tables: postings (term, chunk_id, tf, chunk_len) and lengths
-(chunk_id, chunk_len). Term counts are taken inside each chunk's row, so building
-the index shuffles nothing.
-
-Ranking is exact without scoring every chunk that holds a common word. Frequent
-terms weigh little: their largest possible contribution is known from the index.
-Chunks are first scored on the rarer terms of a query; where the k-th best of these
-already beats everything the frequent terms could give alone, only chunks close
-enough to that mark are completed. Queries where this cannot be shown are scored in
-full.
+The index keeps each chunk's counted terms in one row (chunk_id, chunk_len, terms).
+Counting happens inside the row, so building the index shuffles nothing, and ranking
+needs no shuffle to bring a chunk's terms together. Postings (term, chunk_id, tf,
+chunk_len) are a view of it.
+
+Ranking a block of questions reads the index twice: once for how many chunks hold
+each question term, once for scores (operators.topk). Question sets beyond one block
+are ranked by joins instead, also exact; see ``joined_top_k``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import counted, tokens
+from leafmill.operators.topk import (
+    DEFAULT_K,
+    QUERY_BLOCK,
+    SCORE_DECIMALS,
+    RunningBest,
+    hit_schema,
+    ranked,
+    rows_at_a_time,
+)
 from leafmill.session import stage
 
 # Usual BM25 constants.
 K1 = 1.2
 B = 0.75
 
-DEFAULT_K = 6
+# Terms of all questions of a block together: bounds what travels to each task.
+TERM_BLOCK = 500_000
 
-# Scores are compared at six decimals, ties by id, so results do not depend on the
-# order of additions. The margin keeps every chunk that could tie after rounding.
-SCORE_DECIMALS = 6
+# The margin keeps every chunk that could tie after rounding.
 MARGIN = 1e-5
 
-# A term counts as frequent when it occurs in more than this share of the chunks.
+# In the join form, a term counts as frequent when it occurs in more than this share
+# of the chunks.
 FREQUENT_SHARE = 0.05
 
 # Copies of the query side when frequent terms are joined, so that the postings of
@@ -43,50 +54,39 @@ SALTS = 16
 
 @dataclass(frozen=True)
 class KeywordIndex:
-    postings: DataFrame
-    lengths: DataFrame
+    """chunk_id, chunk_len (tokens), terms array<struct<value:string,n:int>>."""
+
+    rows: DataFrame
+
+    @property
+    def postings(self) -> DataFrame:
+        return self.rows.select("chunk_id", "chunk_len", F.explode("terms").alias("t")).select(
+            F.col("t.value").alias("term"), "chunk_id", F.col("t.n").alias("tf"), "chunk_len"
+        )
 
     def write(self, path: str) -> None:
-        """Store for repeated use. Range partitions by term let a reader skip files;
-        a term with very many postings spreads over several of them by chunk."""
-        by_term = self.postings.repartitionByRange("term", "chunk_id")
-        by_term.sortWithinPartitions("term", "chunk_id").write.mode("overwrite").parquet(f"{path}/postings")
-        self.lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+        self.rows.write.mode("overwrite").parquet(path)
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> KeywordIndex:
-        return KeywordIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"))
-
-
-def chunk_terms(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
-    """chunk_id, terms array<struct<value,n>>, chunk_len (number of tokens)."""
-    return chunks.select("chunk_id", counted(tokens(F.coalesce(F.col(text), F.lit("")))).alias("terms")).withColumn(
-        "chunk_len", F.aggregate("terms", F.lit(0), lambda acc, t: acc + t["n"])
-    )
+        return KeywordIndex(spark.read.parquet(path))
 
 
 def build_index(chunks: DataFrame, text: str = "chunk_text", staged: bool = True) -> KeywordIndex:
-    """Index of a chunk table. ``staged`` writes the term rows once, since ranking
-    reads them several times."""
-    terms = chunk_terms(chunks, text)
-    if staged:
-        terms = stage(terms, "chunk-terms")
-    postings = terms.select("chunk_id", "chunk_len", F.explode("terms").alias("t")).select(
-        F.col("t.value").alias("term"), "chunk_id", F.col("t.n").alias("tf"), "chunk_len"
+    """Index of a chunk table. ``staged`` writes it once, since ranking reads it
+    several times."""
+    rows = chunks.select("chunk_id", counted(tokens(F.coalesce(F.col(text), F.lit("")))).alias("terms")).withColumn(
+        "chunk_len", F.aggregate("terms", F.lit(0), lambda acc, t: acc + t["n"])
     )
-    return KeywordIndex(postings, terms.select("chunk_id", "chunk_len"))
+    return KeywordIndex(stage(rows, "keyword-index") if staged else rows)
 
 
 def refresh_index(index: KeywordIndex, changes: DataFrame, new_chunks: DataFrame) -> KeywordIndex:
     """Index after a change feed (operators.chunks.diff_chunks): rows of touched
     chunks go, rows of inserted and updated chunks come. Equals a full rebuild."""
-    touched = changes.select("chunk_id")
     arrived = new_chunks.join(changes.where(F.col("change") != "delete").select("chunk_id"), "chunk_id", "left_semi")
-    fresh = build_index(arrived, staged=False)
-    return KeywordIndex(
-        index.postings.join(touched, "chunk_id", "left_anti").unionByName(fresh.postings),
-        index.lengths.join(touched, "chunk_id", "left_anti").unionByName(fresh.lengths),
-    )
+    kept = index.rows.join(changes.select("chunk_id"), "chunk_id", "left_anti")
+    return KeywordIndex(kept.unionByName(build_index(arrived, staged=False).rows))
 
 
 def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
@@ -94,21 +94,106 @@ def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
     return queries.select("query_id", F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
 
 
-def ranked(scored: DataFrame, k: int) -> DataFrame:
-    """Best k rows per query with ``rank``; equal scores are ordered by chunk id.
+@dataclass(frozen=True)
+class _Block:
+    """Questions of one pass: terms, their rarity, and which questions use them."""
+
+    ids: list
+    terms: list[str]
+    rarity: np.ndarray
+    users: np.ndarray
+    starts: np.ndarray
+    mean_len: float
+
+    @staticmethod
+    def of(uses: list, holders: dict[str, int], chunks: int, mean_len: float) -> _Block:
+        """From (query_id, term) rows sorted by term, and chunks per term. Terms that
+        no chunk holds play no part."""
+        ids = sorted({u["query_id"] for u in uses})
+        place = {q: i for i, q in enumerate(ids)}
+        used = [u for u in uses if u["term"] in holders]
+        terms, starts = [], []
+        for at, use in enumerate(used):
+            if not terms or terms[-1] != use["term"]:
+                terms.append(use["term"])
+                starts.append(at)
+        df = np.array([holders[t] for t in terms], dtype=np.float64)
+        rarity = np.log(1 + (chunks - df + 0.5) / (df + 0.5))
+        users = np.array([place[u["query_id"]] for u in used], dtype=np.int64)
+        return _Block(ids, terms, rarity, users, np.array([*starts, len(used)], dtype=np.int64), mean_len)
+
+
+def _scan(block: _Block, k: int, types: tuple):
+    """Task side: weights of the questions' terms in each chunk, summed per question."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = RunningBest(block.ids, k, positive=True)
+        wanted = pa.array(block.terms, pa.string())
+        uses = np.diff(block.starts)
+        width = len(block.ids)
+        for batch in batches:
+            ids = np.asarray(batch.column("chunk_id").to_pylist())
+            lens = batch.column("chunk_len").to_numpy().astype(np.float64)
+            offsets = batch.column("words").offsets.to_numpy()
+            found = pc.index_in(batch.column("words").values, value_set=wanted)
+            place = found.fill_null(-1).to_numpy(zero_copy_only=False)
+            tf = batch.column("counts").values.to_numpy(zero_copy_only=False).astype(np.float64)
+            size = rows_at_a_time(width)
+            for start in range(0, len(ids), size):
+                stop = min(start + size, len(ids))
+                lo, hi = offsets[start], offsets[stop]
+                owner = np.repeat(np.arange(stop - start), np.diff(offsets[start : stop + 1]))
+                hit = np.flatnonzero(place[lo:hi] >= 0)
+                term, row, n = place[lo:hi][hit], owner[hit], tf[lo:hi][hit]
+                norm = K1 * (1 - B + B * lens[start:stop][row] / block.mean_len)
+                weight = block.rarity[term] * n * (K1 + 1) / (n + norm)
+                # One entry per question that uses the term.
+                times = uses[term]
+                first = np.cumsum(times) - times
+                step = np.arange(times.sum()) - np.repeat(first, times)
+                user = block.users[np.repeat(block.starts[term], times) + step]
+                cell = np.repeat(row, times) * width + user
+                scores = np.bincount(cell, np.repeat(weight, times), (stop - start) * width)
+                best.add(np.round(scores.reshape(stop - start, width), SCORE_DECIMALS), ids[start:stop])
+        yield best.batch(types)
+
+    return run
+
 
-    Spark limits each group before and after the shuffle, so a query with very many
-    scored chunks sends k rows per task.
+def keyword_top_k(
+    queries: DataFrame,
+    index: KeywordIndex,
+    k: int = DEFAULT_K,
+    text: str = "query_text",
+    block: int = QUERY_BLOCK,
+    term_block: int = TERM_BLOCK,
+) -> DataFrame:
+    """query_id, chunk_id, score, rank of the k best chunks per query by BM25.
+
+    The questions' terms are read here, up to the block's bounds; a larger question
+    set goes to ``joined_top_k``.
     """
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("chunk_id"))
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    terms = query_terms(queries, text)
+    uses = terms.limit(term_block + 1).collect()
+    if len(uses) > term_block or len({u["query_id"] for u in uses}) > block:
+        return joined_top_k(queries, index, k, text=text)
+    ddl, types = hit_schema(queries, index.rows)
+    wanted = F.broadcast(queries.sparkSession.createDataFrame([(t,) for t in {u["term"] for u in uses}], "term string"))
+    # At most term_block rows, one per distinct term of the block.
+    holders = {r["term"]: r["df"] for r in index.postings.join(wanted, "term").groupBy("term").agg(F.count("*").alias("df")).collect()}
+    if not holders:
+        return ranked(queries.sparkSession.createDataFrame([], ddl), k)
+    total = index.rows.agg(F.count("*").alias("n"), F.avg("chunk_len").alias("mean")).first()
+    made = _Block.of(sorted(uses, key=lambda u: (u["term"], u["query_id"])), holders, total["n"], total["mean"])
+    rows = index.rows.select("chunk_id", "chunk_len", F.col("terms.value").alias("words"), F.col("terms.n").alias("counts"))
+    return ranked(rows.mapInArrow(_scan(made, k, types), ddl), k)
 
 
 def term_weights(index: KeywordIndex, terms: DataFrame) -> DataFrame:
     """BM25 weight of every posting of the given terms: term, chunk_id, w, df."""
     wanted = index.postings.join(terms.select("term").distinct(), "term", "left_semi")
     df = wanted.groupBy("term").agg(F.count("*").alias("df"))
-    totals = index.lengths.agg(F.struct(F.count("*").alias("n"), F.avg("chunk_len").alias("mean")))
+    totals = index.rows.agg(F.struct(F.count("*").alias("n"), F.avg("chunk_len").alias("mean")))
     weighted = wanted.join(df, "term").withColumn("total", totals.scalar())
     rarity = F.log(1 + (F.col("total.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = K1 * (1 - B + B * F.col("chunk_len") / F.col("total.mean"))
@@ -129,16 +214,23 @@ def _salted(chunk_id: Column) -> Column:
     return F.pmod(F.xxhash64(chunk_id), F.lit(SALTS)).cast("int")
 
 
-def keyword_top_k(
+def joined_top_k(
     queries: DataFrame,
     index: KeywordIndex,
     k: int = DEFAULT_K,
     frequent_share: float = FREQUENT_SHARE,
     text: str = "query_text",
 ) -> DataFrame:
-    """query_id, chunk_id, score, rank of the k best chunks per query by BM25.
+    """As ``keyword_top_k`` for question sets of any size, by joins on terms.
+
+    Exact without scoring every chunk that holds a common word. Frequent terms weigh
+    little, and their largest contribution is known. Chunks are first scored on the
+    rarer terms of a question; where the k-th best of these already beats everything
+    the frequent terms could give alone, only chunks close enough to that mark are
+    completed. Questions where this cannot be shown are scored in full, with the
+    postings of a frequent term spread by salt.
 
-    Weights of the query terms' postings are staged once and read by each pass.
+    Weights of the question terms' postings are staged once and read by each pass.
     """
     terms = query_terms(queries, text)
     weights = stage(term_weights(index, terms), "bm25-weights")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.columns import content_hash
@@ -14,6 +14,12 @@ PAGE_KEY = ["doc_id", "path", "source_kind", "page_number"]
 PAGES_PER_BLOCK = 65536
 
 
+def _joined(lines: Column) -> Column:
+    """Lines to text. Declared never NULL, so that joins on the text's hash need no
+    NULL check, which would compute the hash twice."""
+    return F.coalesce(F.array_join(lines, "\n"), F.lit(""))
+
+
 def assemble_pages(elements: DataFrame) -> DataFrame:
     """Element rows to page rows, text in element order.
 
@@ -23,7 +29,7 @@ def assemble_pages(elements: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("pos", "element_text")))
     return (
         elements.groupBy(*PAGE_KEY)
-        .agg(F.array_join(F.transform(ordered, lambda e: e["element_text"]), "\n").alias("page_text"))
+        .agg(_joined(F.transform(ordered, lambda e: e["element_text"])).alias("page_text"))
         .withColumn("content_hash", content_hash(F.col("page_text")))
     )
 
@@ -52,7 +58,7 @@ def line_pages(files: DataFrame, text: str = "text", lines_per_page: int = LINES
         "path",
         "source_kind",
         (F.col("page") + 1).cast("int").alias("page_number"),
-        F.array_join("kept", "\n").alias("page_text"),
+        _joined(F.col("kept")).alias("page_text"),
     ).withColumn("content_hash", content_hash(F.col("page_text")))
 
 

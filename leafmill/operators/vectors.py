@@ -3,10 +3,8 @@
 Text becomes a hashed term-frequency vector of unit length, so a dot product is the
 cosine. A user's own vectors enter as (id, array<double>) rows.
 
-Nearest chunks are found in one scan of the vectors: a block of queries of checked
-size travels to the tasks, each task keeps its k best chunks per query, and only
-those are shuffled. No (query, chunk) pair is written out. More queries than one
-block holds are answered block by block.
+Nearest chunks are found in one scan of the vectors (operators.topk). More queries
+than one block holds are answered block by block.
 """
 
 from __future__ import annotations
@@ -20,17 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import TOKEN_CHARACTER, hashed_counts, let, unit_weights
-from leafmill.operators.keyword import DEFAULT_K, SCORE_DECIMALS, ranked
+from leafmill.operators.topk import (
+    DEFAULT_K,
+    QUERY_BLOCK,
+    SCORE_DECIMALS,
+    RunningBest,
+    hit_schema,
+    ranked,
+    rows_at_a_time,
+)
 from leafmill.session import stage, staging_path
 
 DIMS = 1024
 
-# Queries per pass: bounds what the driver holds and what each task receives.
-QUERY_BLOCK = 2048
-
-# Scores computed at a time within a task.
-ROWS_AT_A_TIME = 2048
-
 
 def text_vectors(frame: DataFrame, key: str, text: str, dims: int = DIMS) -> DataFrame:
     """key, buckets array<int>, weights array<double>; sparse, of unit length."""
@@ -88,80 +88,36 @@ class _Block:
         return full
 
 
-def _best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best k by score, then id."""
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = scores >= kth
-        scores, ids = scores[near], ids[near]
-    order = np.lexsort((ids, -scores))[:k]
-    return scores[order], ids[order]
-
-
-def _scan(block: _Block, dims: int, k: int, positive: bool, key_types: tuple):
-    """Task side: running k best per query over all batches of a partition."""
+def _scan(block: _Block, dims: int, k: int, positive: bool, types: tuple):
+    """Task side: scores of all queries by matrix product, a piece of rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = block.matrix(dims)
-        best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(block.ids)
-        floor = np.full(len(block.ids), -np.inf)
+        best = RunningBest(block.ids, k, positive)
+        size = min(rows_at_a_time(len(block.ids)), rows_at_a_time(dims))
         for batch in batches:
             ids = np.asarray(batch.column("chunk_id").to_pylist())
             offsets = batch.column("buckets").offsets.to_numpy()
             buckets = batch.column("buckets").values.to_numpy(zero_copy_only=False)
             weights = batch.column("weights").values.to_numpy(zero_copy_only=False)
-            for start in range(0, len(ids), ROWS_AT_A_TIME):
-                stop = min(start + ROWS_AT_A_TIME, len(ids))
+            for start in range(0, len(ids), size):
+                stop = min(start + size, len(ids))
                 dense = np.zeros((stop - start, dims))
                 lo, hi = offsets[start], offsets[stop]
                 owner = np.repeat(np.arange(stop - start), np.diff(offsets[start : stop + 1]))
                 dense[owner, buckets[lo:hi]] = weights[lo:hi]
-                scores = np.round(dense @ matrix, SCORE_DECIMALS)
-                # Only queries for which this piece holds something good enough.
-                for q in np.flatnonzero(scores.max(axis=0) >= floor):
-                    column, names = scores[:, q], ids[start:stop]
-                    if positive:
-                        held = column > 0
-                        column, names = column[held], names[held]
-                    if best[q] is not None:
-                        column = np.concatenate([best[q][0], column])
-                        names = np.concatenate([best[q][1], names])
-                    if len(column):
-                        best[q] = _best_of(column, names, k)
-                        if len(best[q][0]) == k:
-                            floor[q] = best[q][0][-1]
-        out_q, out_id, out_s = [], [], []
-        for q, kept in enumerate(best):
-            if kept is not None:
-                out_q += [block.ids[q]] * len(kept[0])
-                out_id += list(kept[1])
-                out_s += kept[0].tolist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out_q, key_types[0]), pa.array(out_id, key_types[1]), pa.array(out_s, pa.float64())],
-            names=["query_id", "chunk_id", "score"],
-        )
+                best.add(np.round(dense @ matrix, SCORE_DECIMALS), ids[start:stop])
+        yield best.batch(types)
 
     return run
 
 
-def _arrow_type(frame: DataFrame, column: str) -> pa.DataType:
-    name = frame.schema[column].dataType.simpleString()
-    known = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
-    if name not in known:
-        raise ValueError(f"{column} must be string, bigint or int")
-    return known[name]
-
-
 def _answer_block(records: list, vectors: DataFrame, queries: DataFrame, dims: int, k: int, positive: bool) -> DataFrame:
-    types = (_arrow_type(queries, "query_id"), _arrow_type(vectors, "chunk_id"))
-    schema = (
-        f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
-        f"chunk_id {vectors.schema['chunk_id'].dataType.simpleString()}, score double"
-    )
+    ddl, types = hit_schema(queries, vectors)
     if not records:
-        return vectors.sparkSession.createDataFrame([], schema)
+        return vectors.sparkSession.createDataFrame([], ddl)
     run = _scan(_Block.of(records), dims, k, positive, types)
-    return vectors.select("chunk_id", "buckets", "weights").mapInArrow(run, schema)
+    return vectors.select("chunk_id", "buckets", "weights").mapInArrow(run, ddl)
 
 
 def vector_top_k(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.operators.hybrid import LIST_DEPTH, fuse, with_chunks
-from leafmill.operators.keyword import DEFAULT_K, KeywordIndex, build_index, keyword_top_k
+from leafmill.operators.keyword import KeywordIndex, build_index, keyword_top_k
+from leafmill.operators.topk import DEFAULT_K
 from leafmill.operators.vectors import DIMS, text_vectors, vector_top_k
 from leafmill.session import stage
 

@@ -24,6 +24,16 @@ def identify(
     )
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Even out an input of fewer splits than the session has cores.
+
+    A few large unsplittable files would otherwise be parsed by as few tasks. Inputs
+    with enough splits, so any large table, pass unchanged.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores)
+
+
 def scan_files(
     spark: SparkSession,
     directory: str,

@@ -15,6 +15,7 @@ from leafmill.operators.fields import FieldRule, GateRule
 from leafmill.plans.adapters import documents_as_files, web_pages_as_files
 from leafmill.plans.answers import questions
 from leafmill.plans.corpus import page_chunks
+from leafmill.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,11 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents_as_files(table(spark, sf_dir, "documents"))
+    return documents_as_files(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")))
 
 
 def web_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return web_pages_as_files(table(spark, sf_dir, "pages"))
+    return web_pages_as_files(spread(table(spark, sf_dir, "pages").select("url", "html")))
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

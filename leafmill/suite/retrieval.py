@@ -17,7 +17,7 @@ from leafmill.operators.context import (
     message_rows,
 )
 from leafmill.operators.hybrid import with_chunks
-from leafmill.operators.keyword import build_index, keyword_top_k
+from leafmill.operators.keyword import build_index, joined_top_k, keyword_top_k
 from leafmill.operators.vectors import (
     DIMS,
     dense_vectors,
@@ -60,6 +60,12 @@ def keyword_top6(spark, sf_dir):
     return keyword_top_k(asked(spark, sf_dir), build_index(chunks(spark, sf_dir)))
 
 
+@register("keyword_top6_joined_r2", f"WITH {KEYWORD_SQL} SELECT {TOP_OUT} FROM kw WHERE pos <= 6")
+def keyword_top6_joined(spark, sf_dir):
+    """The join form, for question sets larger than a block."""
+    return joined_top_k(asked(spark, sf_dir), build_index(chunks(spark, sf_dir)))
+
+
 @register(
     "text_vectors_r3",
     f"WITH {TERMS_SQL}, {VECTORS_SQL} SELECT chunk_id, b AS bucket, round(w, 6) AS weight FROM vec",
