@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters and digits of any script; hyphenated codes such as 138L-1 stay whole.
-TOKEN_PATTERN = r"[\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*"
+# Tokens are letters and digits of any script; hyphens between two of them belong to
+# the token, so codes such as 138L-1 stay whole. The pattern is of what lies between
+# tokens: matching the tokens themselves would need a repeated group, which overflows
+# the stack of Java's matcher on texts such as a-a-a-... of some ten thousand parts.
+BETWEEN_TOKENS = r"[^\p{L}\p{N}-]+|-(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])-"
 
 # A text holds a token exactly if it holds one of these.
 TOKEN_CHARACTER = r"[\p{L}\p{N}]"
@@ -26,7 +29,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), BETWEEN_TOKENS), "")
 
 
 def counted(values: Column) -> Column:
@@ -75,4 +78,4 @@ def sentences(text: Column) -> Column:
     """Trimmed non-empty sentences. A full stop ends one only before white space."""
     marked = F.regexp_replace(text, r"([.!?])\s+", "$1" + SENTENCE_MARK)
     parts = F.split(marked, "[" + SENTENCE_MARK + "\n]+")
-    return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) > 0)
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) > 0)

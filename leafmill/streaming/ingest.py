@@ -15,7 +15,12 @@ from leafmill.sources.files import decode_text, identify
 
 
 def file_stream(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
-    """New files as rows: path, modificationTime, length, content, doc_id, source_kind."""
+    """New files as rows: path, modificationTime, length, content, doc_id, source_kind.
+
+    A file stream takes each path once. A changed document has to land under a new
+    file name, or in a new file of a landed table (table_stream) that keeps its path
+    in a column.
+    """
     reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
