@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.columns import chunk_key
+from leafmill.functions.text import let
 from leafmill.schemas import CHUNK, conform
 
 # Chunk length and overlap in characters.
 CHUNK_CHARS = 1200
 OVERLAP_CHARS = 200
 
+# Chunks cut from one piece of a text. A substring is found by counting characters
+# from the start, so cutting a very long text directly would take quadratic time.
+CHUNKS_PER_PIECE = 256
+
 
 def chunk_text(
     documents: DataFrame,
@@ -32,10 +37,20 @@ def chunk_text(
     length = F.length(text)
     reach = length - overlap if drop_contained_tail else length
     count = F.greatest(F.ceil(reach / F.lit(step)).cast("int"), F.lit(1))
-    cut = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.substring(F.col(text), i * F.lit(step) + 1, F.lit(size)),
-    )
+
+    def piece(p: Column) -> Column:
+        first = p * F.lit(CHUNKS_PER_PIECE)
+        body = F.substring(F.col(text), first * F.lit(step) + 1, F.lit(CHUNKS_PER_PIECE * step + overlap))
+        last = F.least(count - first, F.lit(CHUNKS_PER_PIECE)) - 1
+        return let(
+            body,
+            lambda b: F.transform(
+                F.sequence(F.lit(0), last), lambda i: F.substring(b, i * F.lit(step) + 1, F.lit(size))
+            ),
+        )
+
+    pieces = F.sequence(F.lit(0), F.floor((count - 1) / F.lit(CHUNKS_PER_PIECE)).cast("int"))
+    cut = F.flatten(F.transform(pieces, piece))
     return documents.select("*", F.posexplode(cut).alias("chunk_index", "chunk_text")).where(F.length("chunk_text") > 0)
 
 
@@ -60,18 +75,26 @@ def union_chunks(*parts: DataFrame) -> DataFrame:
 def diff_chunks(old: DataFrame, new: DataFrame, key: str = "chunk_id", text: str = "chunk_text") -> DataFrame:
     """Changes that turn ``old`` into ``new``: key, change (insert, update, delete).
 
-    Only key and text hash are shuffled. Equal NULL texts count as unchanged.
+    Only key and text hash are shuffled. Equal NULL texts count as unchanged. Should a
+    key occur several times, its rows are compared as a whole: each side is reduced to
+    one row per key before the join, on the join's own partitioning.
     """
-    before = old.select(key, F.sha2(text, 256).alias("old_hash"), F.lit(True).alias("in_old"))
-    after = new.select(key, F.sha2(text, 256).alias("new_hash"), F.lit(True).alias("in_new"))
+
+    def reduced(frame: DataFrame, name: str) -> DataFrame:
+        hashed = frame.select(key, F.sha2(text, 256).alias("h"))
+        spread_sum = F.sum(F.xxhash64("h").cast("decimal(38,0)"))
+        state = F.struct(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"), spread_sum.alias("all"))
+        return hashed.groupBy(key).agg(state.alias(name))
+
     change = (
-        F.when(F.col("in_old").isNull(), "insert")
-        .when(F.col("in_new").isNull(), "delete")
-        .when(~F.col("old_hash").eqNullSafe(F.col("new_hash")), "update")
+        F.when(F.col("before").isNull(), "insert")
+        .when(F.col("after").isNull(), "delete")
+        .when(F.col("before") != F.col("after"), "update")
     )
     return (
-        before.join(after, key, "full")
-        .select(key, change.alias("change"), "old_hash", "new_hash")
+        reduced(old, "before")
+        .join(reduced(new, "after"), key, "full")
+        .select(key, change.alias("change"))
         .where(F.col("change").isNotNull())
     )
 

@@ -21,9 +21,14 @@ def merge_sources(sources: dict[str, DataFrame]) -> DataFrame:
 
 def attach_fields(pages: DataFrame, fields: DataFrame) -> DataFrame:
     """Left join on document and page. A page whose fields are under review stays,
-    with NULL fields."""
+    with NULL fields.
+
+    There is one field row per page. Should a page have been delivered several times,
+    its field rows are reduced to one first, so no page is multiplied.
+    """
     extra = [c for c in fields.columns if c not in pages.columns and c != "extracted_at"]
-    return pages.join(fields.select(*MATCH, *extra), MATCH, "left").withColumnRenamed("path", "source_path")
+    one = fields.groupBy(*MATCH).agg(F.min(F.struct(*extra)).alias("f")).select(*MATCH, "f.*")
+    return pages.join(one, MATCH, "left").withColumnRenamed("path", "source_path")
 
 
 def attach_fields_inline(extracted: DataFrame, rules: Sequence[GateRule], names: Sequence[str]) -> DataFrame:

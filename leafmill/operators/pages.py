@@ -24,9 +24,10 @@ def assemble_pages(elements: DataFrame) -> DataFrame:
     """Element rows to page rows, text in element order.
 
     A group is one page of one document, so it is a part of one source record and
-    never larger than that record.
+    never larger than that record. Elements delivered twice count once, and copies
+    are dropped within each task before the shuffle.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "element_text")))
+    ordered = F.sort_array(F.collect_set(F.struct("pos", "element_text")))
     return (
         elements.groupBy(*PAGE_KEY)
         .agg(_joined(F.transform(ordered, lambda e: e["element_text"])).alias("page_text"))

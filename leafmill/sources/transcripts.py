@@ -23,11 +23,12 @@ def assemble_transcripts(
 
     Conversations of up to ``turns_per_part`` turns have the single part 1. A longer
     one continues in further parts, so no group grows beyond that bound however
-    many turns a conversation has, and no turn is lost.
+    many turns a conversation has, and no turn is lost. A turn delivered twice counts
+    once.
     """
     line = F.concat_ws(": ", F.col(role), F.coalesce(F.col(text), F.lit("")))
     part = (F.floor(F.col(turn) / F.lit(turns_per_part)) + 1).cast("int")
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("at"), line.alias("line"))))
+    ordered = F.sort_array(F.collect_set(F.struct(F.col(turn).alias("at"), line.alias("line"))))
     path = F.concat(F.lit(prefix), F.col(conversation).cast("string"))
     return (
         turns.groupBy(F.col(conversation), part.alias("part"))

@@ -1,9 +1,14 @@
 """Incremental consolidation: bring pages, documents and chunks up to date when some
-documents arrive or change, without redoing the rest."""
+documents arrive or change, without redoing the rest.
+
+A change to a table is a pair: keys whose rows go, and rows that come. Only changes
+are written per run; reading applies them in order to the last full version, and
+every few runs a full version is written anew.
+"""
 
 from __future__ import annotations
 
-import json
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +21,10 @@ from leafmill.operators.pages import assemble_pages, canonical_copies
 # Fields that the document table carries on from extraction.
 DOCUMENT_FIELDS = ("substation_name", "voltage_class_kv", "equipment_ids", "study_date", "approving_engineer")
 
-PAGE_OF = ["doc_id", "page_number"]
+TABLES = ("pages", "documents", "chunks")
+
+# Runs between full versions.
+FULL_EVERY = 16
 
 
 @dataclass(frozen=True)
@@ -28,6 +36,18 @@ class Corpus:
     chunks: DataFrame
 
 
+@dataclass(frozen=True)
+class Change:
+    """Rows with these keys go, these rows come."""
+
+    gone: DataFrame
+    come: DataFrame
+
+    def apply(self, table: DataFrame) -> DataFrame:
+        kept = table.join(self.gone, self.gone.columns, "left_anti")
+        return kept.select(*table.columns).unionByName(self.come.select(*table.columns))
+
+
 def consolidate(pages: DataFrame) -> DataFrame:
     """Canonical pages with their accepted fields."""
     extracted = extract_fields(canonical_copies(pages), SUBSTATION_RULES)
@@ -39,66 +59,93 @@ def full_corpus(pages: DataFrame) -> Corpus:
     return Corpus(pages, documents, document_chunks(documents))
 
 
-def refresh_corpus(before: Corpus, arrived: DataFrame) -> Corpus:
-    """The corpus after the pages of new or changed documents arrived.
+def corpus_changes(before: Corpus, arrived: DataFrame) -> dict[str, Change]:
+    """What the pages of new or changed documents change in each table.
 
     A page's fate depends only on pages with its content hash. So only hashes that
     the arriving documents have, or had, are decided again.
     """
-    changed_docs = arrived.select("doc_id").distinct()
-    left_behind = before.pages.join(changed_docs, "doc_id", "left_semi").select("content_hash")
-    touched = left_behind.unionByName(arrived.select("content_hash")).distinct()
-    pages = before.pages.join(changed_docs, "doc_id", "left_anti").unionByName(arrived.select(*before.pages.columns))
+    documents = arrived.select("doc_id").distinct()
+    had = before.pages.join(documents, "doc_id", "left_semi").select("content_hash")
+    touched = had.unionByName(arrived.select("content_hash")).distinct()
+    pages = Change(documents, arrived)
+    decided = consolidate(pages.apply(before.pages).join(touched, "content_hash", "left_semi").select(*before.pages.columns))
+    stale = before.documents.join(touched, "content_hash", "left_semi").select("doc_id", "page_number").distinct()
+    return {
+        "pages": pages,
+        "documents": Change(touched, decided),
+        "chunks": Change(stale, document_chunks(decided)),
+    }
+
 
-    decided = consolidate(pages.join(touched, "content_hash", "left_semi").select(*pages.columns))
-    stale = before.documents.join(touched, "content_hash", "left_semi").select(*PAGE_OF)
-    documents = before.documents.join(touched, "content_hash", "left_anti").unionByName(decided)
-    chunks = before.chunks.join(stale, PAGE_OF, "left_anti").unionByName(document_chunks(decided))
-    return Corpus(pages, documents, chunks.select(*before.chunks.columns))
+def refresh_corpus(before: Corpus, arrived: DataFrame) -> Corpus:
+    """The corpus after the pages of new or changed documents arrived."""
+    changes = corpus_changes(before, arrived)
+    return Corpus(*[changes[name].apply(getattr(before, name)) for name in TABLES])
 
 
-def _write(corpus: Corpus, root: str, version: int) -> None:
-    for name in ("pages", "documents", "chunks"):
-        getattr(corpus, name).write.mode("overwrite").parquet(f"{root}/v{version}/{name}")
+def _write_full(corpus: Corpus, root: str, version: int) -> None:
+    for name in TABLES:
+        getattr(corpus, name).write.mode("overwrite").parquet(f"{root}/v{version}/full/{name}")
 
 
-def read_corpus(spark: SparkSession, root: str, version: int) -> Corpus:
-    return Corpus(*[spark.read.parquet(f"{root}/v{version}/{name}") for name in ("pages", "documents", "chunks")])
+def _write_changes(changes: dict[str, Change], root: str, version: int) -> None:
+    for name, change in changes.items():
+        change.gone.write.mode("overwrite").parquet(f"{root}/v{version}/gone/{name}")
+        change.come.write.mode("overwrite").parquet(f"{root}/v{version}/come/{name}")
 
 
-def _latest_pointer(spark: SparkSession, root: str) -> int | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/current")
+def _is_full(version: int) -> bool:
+    return (version - 1) % FULL_EVERY == 0
+
+
+def read_corpus(spark: SparkSession, root: str, version: int) -> Corpus:
+    """A version: the last full one, and the changes since."""
+    base = version - (version - 1) % FULL_EVERY
+    tables = {name: spark.read.parquet(f"{root}/v{base}/full/{name}") for name in TABLES}
+    for later in range(base + 1, version + 1):
+        for name in TABLES:
+            part = f"{root}/v{later}/{{}}/{name}"
+            change = Change(spark.read.parquet(part.format("gone")), spark.read.parquet(part.format("come")))
+            tables[name] = change.apply(tables[name])
+    return Corpus(*[tables[name] for name in TABLES])
+
+
+def _versions(spark: SparkSession, root: str) -> Sequence[int]:
+    """Finished versions. Each leaves a marker when all its parts are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/done")
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(path):
-        return None
-    row = spark.read.text(f"{root}/current").first()
-    return json.loads(row["value"])["version"]
+        return []
+    return sorted(int(entry.getPath().getName()) for entry in files.listStatus(path))
 
 
 def current_corpus(spark: SparkSession, root: str) -> Corpus | None:
-    version = _latest_pointer(spark, root)
-    return None if version is None else read_corpus(spark, root, version)
+    done = _versions(spark, root)
+    return read_corpus(spark, root, done[-1]) if done else None
 
 
 def refresh_from_stream(elements: DataFrame, root: str, checkpoint: str) -> None:
     """Element rows of a stream into a versioned corpus below ``root``, then stop.
 
-    Micro-batch n turns version n into version n + 1 and then moves the pointer. A
-    batch that is repeated after a failure starts from version n again, so nothing
-    is applied twice. A document's elements must arrive in one batch, which holds
-    when elements are made from its file in the same stream.
+    Micro-batch n turns version n into version n + 1 and then marks it done. A batch
+    that is repeated after a failure starts from version n again, so nothing is
+    applied twice. A document's elements must arrive in one batch, which holds when
+    elements are made from its file in the same stream.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, version = batch.sparkSession, batch_id + 1
         arrived = assemble_pages(batch)
         if batch_id == 0:
-            corpus = full_corpus(arrived)
+            _write_full(full_corpus(arrived), root, version)
         else:
-            corpus = refresh_corpus(read_corpus(spark, root, batch_id), arrived)
-        _write(corpus, root, batch_id + 1)
-        pointer = spark.createDataFrame([(json.dumps({"version": batch_id + 1}),)], "value string")
-        pointer.coalesce(1).write.mode("overwrite").text(f"{root}/current")
+            before = read_corpus(spark, root, batch_id)
+            if _is_full(version):
+                _write_full(refresh_corpus(before, arrived), root, version)
+            else:
+                _write_changes(corpus_changes(before, arrived), root, version)
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/done/{version}")
 
     query = (
         elements.writeStream.foreachBatch(step)

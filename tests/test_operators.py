@@ -164,6 +164,16 @@ def test_chunks_rebuild_the_text(spark, texts, size, data):
         assert "".join(pieces[n][:step] for n in sorted(pieces)) == text
 
 
+def test_very_long_text(spark):
+    """Some ten thousand chunks of one text, across the pieces it is cut from."""
+    text = "".join(chr(97 + i % 26) for i in range(99)) + "é"
+    frame = spark.createDataFrame([(text,)], "t string").select(F.repeat("t", 100_000).alias("page_text"))
+    made = {r["chunk_index"]: r["chunk_text"] for r in chunk_text(frame).select("chunk_index", "chunk_text").collect()}
+    whole = text * 100_000
+    assert sorted(made) == list(range(10_000))
+    assert all(made[i] == whole[i * 1000 : i * 1000 + 1200] for i in range(0, 10_000, 7))
+
+
 def test_chunk_arguments(spark):
     with pytest.raises(ValueError):
         chunk_text(spark.range(1), size=100, overlap=100)
@@ -190,6 +200,14 @@ def test_changes(spark, rows):
     ]
 
 
+def test_repeated_keys_are_compared_as_a_whole(spark, rows):
+    old = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("b", "x"), ("c", "x")], CHUNK_ROW)
+    new = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", "x"), ("c", "x"), ("c", "z")], CHUNK_ROW)
+    changes = diff_chunks(old, new)
+    assert rows(changes, "chunk_id", "change") == [("b", "update"), ("c", "update")]
+    assert rows(apply_changes(old, new, changes)) == rows(new)
+
+
 @RARE
 @given(*[st.dictionaries(st.sampled_from("abcdefgh"), st.sampled_from(["x", "y", None]), min_size=1) for _ in range(2)])
 def test_changes_lead_to_the_new_table(spark, rows, before, after):

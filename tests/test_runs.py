@@ -16,6 +16,7 @@ from leafmill.session import checkpoint_folder, stage
 from leafmill.sinks.tables import append_run, ensure_schemas, overwrite_table, read_runs, stamped, write_counted, write_gated
 from leafmill.sources.elements import line_elements
 from leafmill.sources.files import decode_text, identify
+from leafmill.streaming import refresh
 from leafmill.streaming.ingest import file_stream, ingest_text_files
 from leafmill.streaming.refresh import current_corpus, full_corpus, refresh_corpus, refresh_from_stream
 
@@ -92,7 +93,8 @@ def test_tables(spark, tmp_path, rows):
 def test_staged_tables_use_the_named_folder(spark):
     staged = stage(spark.range(3).select(F.col("id"), F.parse_json(F.lit('{"a":1}')).alias("v")), "x")
     assert staged.count() == 3 and staged.columns == ["id", "v"]
-    assert staged.inputFiles()[0].startswith("file:" + checkpoint_folder(spark).removeprefix("file:"))
+    folder = checkpoint_folder(spark).removeprefix("file:")
+    assert staged.inputFiles()[0].removeprefix("file://").startswith(f"{folder}/leafmill-staged/x-")
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "/shared"}.get(key, default)))
     assert checkpoint_folder(named) == "/shared"
     bare = SimpleNamespace(
@@ -136,13 +138,15 @@ def test_refresh_equals_a_full_run(spark, rows, second):
         assert rows(getattr(got, name), *frame.columns) == rows(frame)
 
 
-def test_streamed_refresh(spark, tmp_path, rows):
+def test_streamed_refresh(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(refresh, "FULL_EVERY", 3)
     landing, root, progress = tmp_path / "in", str(tmp_path / "corpus"), str(tmp_path / "progress")
     landing.mkdir()
     assert current_corpus(spark, root) is None
     seen = {}
     # Each path lands once: a file stream does not look at a known path again.
-    for texts in (FIRST, [("/A", "shared page"), ("/g", "own\ntext"), ("/b", "once\nshared")], []):
+    arrivals = [FIRST, [("/A", "shared page"), ("/g", "own\ntext")], [("/b", "once\nshared")], [], [("/B", "own\ntext")], [("/C", "new")]]
+    for texts in arrivals:
         for path, text in texts:
             (landing / (path.strip("/") + ".txt")).write_text(text)
             seen[path] = text
