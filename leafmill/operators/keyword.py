@@ -60,9 +60,14 @@ class KeywordIndex:
 
     @property
     def postings(self) -> DataFrame:
-        return self.rows.select("chunk_id", "chunk_len", F.explode("terms").alias("t")).select(
-            F.col("t.value").alias("term"), "chunk_id", F.col("t.n").alias("tf"), "chunk_len"
-        )
+        """term, chunk_id, tf, chunk_len.
+
+        The outer form with a check behind it: for a plain explode Spark adds a
+        filter on the array's size, and, pushed down to the text, that filter would
+        count all terms a second time.
+        """
+        each = self.rows.select("chunk_id", "chunk_len", F.explode_outer("terms").alias("t")).where("t is not null")
+        return each.select(F.col("t.value").alias("term"), "chunk_id", F.col("t.n").alias("tf"), "chunk_len")
 
     def write(self, path: str) -> None:
         self.rows.write.mode("overwrite").parquet(path)

@@ -14,10 +14,13 @@ PAGE_KEY = ["doc_id", "path", "source_kind", "page_number"]
 PAGES_PER_BLOCK = 65536
 
 
-def _joined(lines: Column) -> Column:
-    """Lines to text. Declared never NULL, so that joins on the text's hash need no
-    NULL check, which would compute the hash twice."""
-    return F.coalesce(F.array_join(lines, "\n"), F.lit(""))
+def _with_text(frame: DataFrame, lines: Column) -> DataFrame:
+    """Add page_text and content_hash, both declared never NULL: a join on the hash
+    then needs no NULL check, which would compute the hash a second time."""
+    text = F.coalesce(F.array_join(lines, "\n"), F.lit(""))
+    return frame.withColumn("page_text", text).withColumn(
+        "content_hash", F.coalesce(content_hash(F.col("page_text")), F.lit(""))
+    )
 
 
 def assemble_pages(elements: DataFrame) -> DataFrame:
@@ -28,11 +31,8 @@ def assemble_pages(elements: DataFrame) -> DataFrame:
     are dropped within each task before the shuffle.
     """
     ordered = F.sort_array(F.collect_set(F.struct("pos", "element_text")))
-    return (
-        elements.groupBy(*PAGE_KEY)
-        .agg(_joined(F.transform(ordered, lambda e: e["element_text"])).alias("page_text"))
-        .withColumn("content_hash", content_hash(F.col("page_text")))
-    )
+    grouped = elements.groupBy(*PAGE_KEY).agg(ordered.alias("_elements"))
+    return _with_text(grouped, F.transform("_elements", lambda e: e["element_text"])).drop("_elements")
 
 
 def line_pages(files: DataFrame, text: str = "text", lines_per_page: int = LINES_PER_PAGE) -> DataFrame:
@@ -54,13 +54,10 @@ def line_pages(files: DataFrame, text: str = "text", lines_per_page: int = LINES
             )
         ).alias("page", "kept"),
     ).where(F.size("kept") > 0)
-    return paged.select(
-        "doc_id",
-        "path",
-        "source_kind",
-        (F.col("page") + 1).cast("int").alias("page_number"),
-        _joined(F.col("kept")).alias("page_text"),
-    ).withColumn("content_hash", content_hash(F.col("page_text")))
+    numbered = paged.select(
+        "doc_id", "path", "source_kind", (F.col("page") + 1).cast("int").alias("page_number"), "kept"
+    )
+    return _with_text(numbered, F.col("kept")).drop("kept")
 
 
 def canonical_copies(pages: DataFrame, within_file: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ than one block holds are answered block by block.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,15 +42,16 @@ def text_vectors(frame: DataFrame, key: str, text: str, dims: int = DIMS) -> Dat
     )
 
 
-def dense_vectors(frame: DataFrame, key: str, vector: str) -> DataFrame:
-    """Given vectors in the same form, scaled to unit length. Zero vectors drop out."""
+def dense_vectors(frame: DataFrame, key: str, vector: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Given vectors in the same form, scaled to unit length. Zero vectors drop out.
+    ``keep`` names further columns to carry along."""
     wide = F.transform(F.col(vector), lambda x: x.cast("double"))
     norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + x * x))
     scaled = let(norm, lambda n: F.transform(wide, lambda x: x / n))
     return (
         frame.where(F.exists(vector, lambda x: x != 0))
-        .select(key, scaled.alias("weights"))
-        .select(key, F.sequence(F.lit(0), F.size("weights") - 1).alias("buckets"), "weights")
+        .select(key, *keep, scaled.alias("weights"))
+        .select(key, *keep, F.sequence(F.lit(0), F.size("weights") - 1).alias("buckets"), "weights")
     )
 
 

@@ -8,7 +8,7 @@ from leafmill.operators.chunks import apply_changes, chunk_text, diff_chunks, un
 from leafmill.operators.consolidate import attach_fields, attach_fields_inline, attach_region, merge_sources
 from leafmill.operators.debriefs import debrief_chunks, parse_header, structure, with_prompt
 from leafmill.operators.evaluate import kind_counts
-from leafmill.operators.fields import extract_fields, gate, split_gate
+from leafmill.operators.fields import extract_fields, split_gate
 from leafmill.operators.keyword import build_index, refresh_index
 from leafmill.operators.pages import assemble_pages, canonical_copies, line_pages
 from leafmill.operators.security import mask, register_functions, row_filter
@@ -17,6 +17,7 @@ from leafmill.plans.adapters import documents_as_files, transcripts_as_files
 from leafmill.plans.corpus import canonical_pages, corpus_chunks, page_chunks
 from leafmill.session import stage
 from leafmill.sources.elements import html_elements
+from leafmill.sources.files import spread
 from leafmill.sources.transcripts import assemble_transcripts
 from leafmill.suite.common import (
     CANON_SQL,
@@ -34,7 +35,7 @@ from leafmill.suite.common import (
     table,
     web_files,
 )
-from leafmill.suite.digitize import FIELDS_SQL, fields
+from leafmill.suite.digitize import FIELDS_SQL, gated_fields
 
 CANON_OUT = "did AS doc_id, path, kind AS source_kind, page AS page_number, sha256(body) AS content_hash"
 
@@ -67,7 +68,7 @@ DOCUMENT_FIELD_NAMES = ["license", "address", "version"]
 @register("document_fields_j1", DOCUMENT_FIELDS_SQL)
 def document_fields(spark, sf_dir):
     """Canonical pages left-joined with the fields that passed the gate."""
-    accepted, _ = split_gate(gate(fields(spark, sf_dir), generic_gate()))
+    accepted, _ = split_gate(gated_fields(spark, sf_dir))
     joined = attach_fields(canonical_pages(files(spark, sf_dir)), accepted)
     return joined.select("doc_id", "source_path", "page_number", "content_hash", *DOCUMENT_FIELD_NAMES)
 
@@ -290,7 +291,7 @@ def prompts(spark, sf_dir):
 def two_versions(spark, sf_dir):
     """An older chunk table, before the Spanish documents came and the French ones
     were revised, and the present one."""
-    present = table(spark, sf_dir, "documents")
+    present = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
     older = present.where(F.col("lang") != "es").withColumn(
         "text", F.when(F.col("lang") == "fr", F.replace("text", F.lit("le "), F.lit("LE "))).otherwise(F.col("text"))
     )

@@ -9,7 +9,7 @@ from leafmill.operators.fields import gate, mentions, promote, split_gate, typed
 from leafmill.operators.pages import assemble_pages, line_pages
 from leafmill.schemas import DOCUMENT, conform
 from leafmill.sinks.tables import write_counted
-from leafmill.session import staging_path
+from leafmill.session import stage, staging_path
 from leafmill.sources.elements import html_elements, line_elements, parse_payload, variant_elements
 from leafmill.suite.common import (
     CODE_PATTERN,
@@ -158,6 +158,12 @@ def fields(spark, sf_dir):
     return typed_fields(line_pages(files(spark, sf_dir)), GENERIC_RULES)
 
 
+def gated_fields(spark, sf_dir):
+    """Field rows with their review reasons, written once. Each side of the gate reads
+    the table; from the text, its filter would extract all fields a second time."""
+    return stage(gate(fields(spark, sf_dir), generic_gate()), "fields")
+
+
 def as_text(codes="codes"):
     """Codes in the notation the SQL side uses for lists."""
     return F.concat(F.lit("["), F.array_join(F.array_sort(F.col(codes)), ", "), F.lit("]"))
@@ -217,7 +223,7 @@ def tolerant_types(spark, sf_dir):
       CASE WHEN undated OR unnamed THEN 'review' ELSE 'curated' END AS side FROM judged""",
 )
 def review_gate(spark, sf_dir):
-    accepted, held = split_gate(gate(fields(spark, sf_dir), generic_gate()))
+    accepted, held = split_gate(gated_fields(spark, sf_dir))
     kept = accepted.select("doc_id", "page_number", F.lit("").alias("reasons"), F.lit("curated").alias("side"))
     return kept.unionByName(
         held.select("doc_id", "page_number", F.array_join("review_reasons", "; ").alias("reasons"), F.lit("review").alias("side"))
@@ -234,7 +240,7 @@ def review_gate(spark, sf_dir):
 )
 def promote_reviewed(spark, sf_dir):
     """Reviewers approve the documents that carry a good quality label."""
-    accepted, held = split_gate(gate(fields(spark, sf_dir), generic_gate()))
+    accepted, held = split_gate(gated_fields(spark, sf_dir))
     good = table(spark, sf_dir, "labels").where(F.col("quality") == 1)
     named = table(spark, sf_dir, "documents").select("doc_id", "source").join(good, "doc_id", "left_semi")
     path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), F.col("doc_id").cast("string"))

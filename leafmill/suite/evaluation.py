@@ -15,6 +15,7 @@ from leafmill.plans.answers import semantic_top_k
 from leafmill.session import stage, staging_path
 from leafmill.sinks.tables import append_run, read_runs
 from leafmill.sources.elements import line_elements
+from leafmill.sources.files import spread
 from leafmill.streaming.ingest import ingest, table_stream
 from leafmill.streaming.refresh import current_corpus, full_corpus, refresh_corpus, refresh_from_stream
 from leafmill.suite.common import CHUNKS_SQL, HYBRID_SQL, LINES_SQL, asked, files, register, table
@@ -161,7 +162,7 @@ REFRESHED_SQL = f"""WITH {CHUNKS_SQL} SELECT chunk_id, did AS doc_id, page AS pa
 @register("corpus_refresh_n2", REFRESHED_SQL)
 def corpus_refresh(spark, sf_dir):
     """English documents first, the other languages after: equals one full run."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
     arrivals = [documents.where(F.col("lang") == "en"), documents.where(F.col("lang") != "en")]
     first, second = [assemble_pages(line_elements(documents_as_files(part))) for part in arrivals]
     before = full_corpus(first)

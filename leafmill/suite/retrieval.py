@@ -123,7 +123,7 @@ def dense_top6(spark, sf_dir):
 )
 def dense_top6_within_label(spark, sf_dir):
     given = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "chunk_id")
-    vectors = dense_vectors(given, "chunk_id", "embedding").join(given.select("chunk_id", "label"), "chunk_id")
+    vectors = dense_vectors(given, "chunk_id", "embedding", ["label"])
     means = label_means(spark, sf_dir).withColumn("label", F.col("query_id"))
     return vector_top_k_within(means, vectors, "label").withColumnRenamed("chunk_id", "vec_id")
 

@@ -147,7 +147,7 @@ def test_vector_ranking_is_exact(spark, positive, block):
 def test_vectors_within_groups(spark):
     vectors = [(i, i % 2, [float(i + 1), 1.0]) for i in range(10)]
     frame = spark.createDataFrame(vectors, "chunk_id bigint, g int, v array<double>")
-    given = dense_vectors(frame, "chunk_id", "v").join(frame.select("chunk_id", "g"), "chunk_id")
+    given = dense_vectors(frame, "chunk_id", "v", ["g"])
     asked = dense_vectors(spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "query_id int, v array<double>"), "query_id", "v")
     got = vector_top_k_within(asked.withColumn("g", F.col("query_id")), given, "g", 2)
     assert listed(got) == {0: [8, 6], 1: [1, 3]}
