@@ -4,4 +4,11 @@ Every operator is a function from DataFrame to DataFrame. Nothing runs until an
 action does, except where a docstring says that a table is staged.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in tasks travel by value, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

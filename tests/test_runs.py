@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from leafmill.operators.evaluate import contains_any, diff_runs, eval_set, kind_counts, latest_run, score_run, summarise_runs
 from leafmill.operators.fields import gate, substation_gate
+from leafmill.operators.keyword import _Block, _scan
 from leafmill.operators.models import model_map
 from leafmill.operators.pages import assemble_pages
 from leafmill.session import checkpoint_folder, stage
@@ -71,6 +75,14 @@ def test_model_errors_stay_with_their_row(spark):
     assert made[0]["result"]["value"].asDict() == {"n": 2, "tags": ["ab"]} and made[1]["result"]["value"] is None
 
 
+def test_task_code_travels_by_value():
+    """Executors do not have the package, so no pickled function may import it."""
+    assert "leafmill" in cloudpickle.list_registry_pickle_by_value()
+    made = cloudpickle.dumps(_scan(_Block.of([], {}, 1, 1.0), 6, (None, None)))
+    bare = "import sys; from pyspark import cloudpickle; cloudpickle.loads(sys.stdin.buffer.read()); assert 'leafmill' not in sys.modules"
+    subprocess.run([sys.executable, "-c", bare], input=made, cwd="/", check=True, timeout=60)
+
+
 def test_tables(spark, tmp_path, rows):
     ensure_schemas(spark, ["leafmill_test"])
     ensure_schemas(spark, ["leafmill_test"])
