@@ -59,8 +59,12 @@ def citation_title(path: Column, fallback: Column, page_number: Column) -> Colum
     return F.concat(file_name(path, fallback), page_suffix(page_number))
 
 
+# Fixed value: the scheme left out of shown paths.
+SHOWN_WITHOUT = "dbfs:"
+
+
 def display_path(path: Column) -> Column:
-    return F.regexp_replace(path, "^dbfs:", "")
+    return F.regexp_replace(path, "^" + SHOWN_WITHOUT, "")
 
 
 def display_score(score: Column) -> Column:

@@ -221,15 +221,15 @@ def test_sources_merge_by_name(spark, rows):
     assert rows(merge_sources({"a": a, "b": b}), "source_system", "doc_id", "page_text", "extra") == [("a", "1", "x", None), ("b", "2", "y", 3)]
 
 
-TRANSCRIPT = """Retirement debrief transcript
+TRANSCRIPT = """Interview transcript
 Interviewee: Senior Engineer
 Date: 2026-02-14
 Topic: Relay Coordination
-Interviewer: Knowledge Capture Team
+Interviewer: Archive Group
 ---
 
-We left the time dial on 138L-1 where it is because the feeder trips in winter. We kept 138B-2 as well. The reason isn't on paper. The study keeps flagging it.
-It's a handshake from 2014.
+We left 138L-1 as set because the feeder trips in winter. We kept 138B-2 as well. The reason is known to operations only. The study asks about this each year.
+That is a handshake deal of 2012.
 ---
 not a header
 """
@@ -239,16 +239,16 @@ def test_header_and_structure(spark):
     frame = spark.createDataFrame([(TRANSCRIPT,), ("no header",), (None,)], "transcript string")
     made = structure(parse_header(frame), text="body", topic=F.col("topic")).collect()
     first, plain, empty = made
-    assert (first["interviewee"], str(first["debrief_date"]), first["interviewer"]) == ("Senior Engineer", "2026-02-14", "Knowledge Capture Team")
+    assert (first["interviewee"], str(first["debrief_date"]), first["interviewer"]) == ("Senior Engineer", "2026-02-14", "Archive Group")
     assert first["body"].startswith("We left") and first["body"].endswith("---\nnot a header")
     s = first["structured"]
     assert s["topics"] == ["Relay Coordination"] and s["equipment_mentioned"] == ["138L-1", "138B-2"]
     assert [tuple(d) for d in s["decisions"]] == [
-        ("We left the time dial on 138L-1 where it is because the feeder trips in winter.", "because the feeder trips in winter."),
-        ("We kept 138B-2 as well.", "The reason isn't on paper."),
+        ("We left 138L-1 as set because the feeder trips in winter.", "because the feeder trips in winter."),
+        ("We kept 138B-2 as well.", "The reason is known to operations only."),
     ]
-    assert s["cross_references"] == ["The study keeps flagging it."]
-    assert s["handshake_relationships"] == ["It's a handshake from 2014."]
+    assert s["cross_references"] == ["The study asks about this each year."]
+    assert s["handshake_relationships"] == ["That is a handshake deal of 2012."]
     assert s["failure_modes"] == []
     assert plain["body"] == "no header" and plain["topic"] is None
     for row in (plain, empty):
