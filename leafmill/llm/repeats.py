@@ -11,7 +11,7 @@ A start is repeated if the ``length`` bytes from there also start elsewhere.
    text in corpus order, sorts its suffixes by prefix doubling, and takes for each
    suffix the longest common prefix with the previous and next smaller positions
    (longest previous factor) and with the previous and next larger ones (longest next
-   factor). Factors of ``length`` bytes mark repeated starts.
+   factor), up to ``length``. Factors of ``length`` bytes mark repeated starts.
 4. An anchor with more distinct blocks than one sort should hold goes another way, as
    exact: a row per start with the hash of its string, counted with partial sums.
 
@@ -29,13 +29,13 @@ from leafmill.llm.common import PIECE, letters, mixed, packed, powers, slices, t
 from leafmill.session import stage
 
 LENGTH = 200
-GRAM = 32
+GRAM = 64
 
 # Distinct blocks of one anchor that are sorted together; above, starts are counted.
 SORTED_BLOCKS = 256
 
 # Bytes sorted at a time.
-SORT_BYTES = 1 << 19
+SORT_BYTES = 1 << 17
 
 
 def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
@@ -116,72 +116,48 @@ def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(cut, "doc bigint, anchor bigint, content bigint, at bigint, starts int")
 
 
-def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Suffixes in order of their first ``depth`` or more bytes, ties by place, and the
-    ranks by 1, 2, 4, ... bytes. Values 0 to 256 and, above, separators, each its own."""
-    _, rank = np.unique(text, return_inverse=True)
-    ranks, step, n = [rank.astype(np.int64)], 1, len(text)
-    while step < depth:
-        second = np.full(n, -1, np.int64)
-        second[: n - step] = ranks[-1][step:]
-        key = ranks[-1] * (n + 1) + second + 1
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)]) if n else 0
-        ranks.append(new)
-        step *= 2
-    return np.argsort(ranks[-1], kind="stable"), ranks
-
-
-def common_prefix(ranks: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of suffix pairs, up to 2 * 2**k - 1 for k levels."""
-    n = len(ranks[0])
-    total = np.zeros(len(left), np.int64)
-    for level in range(len(ranks) - 1, -1, -1):
-        a, b = left + total, right + total
-        inside = (a < n) & (b < n)
-        same = inside.copy()
-        same[inside] = ranks[level][a[inside]] == ranks[level][b[inside]]
-        total[same] += 1 << level
-    return total
-
-
-def nearest_smaller(places: list[int]) -> tuple[list[int], list[int]]:
-    """For each entry the index of the previous and of the next smaller one, else -1."""
-    before, after, stack = [-1] * len(places), [-1] * len(places), []
-    for i, place in enumerate(places):
-        while stack and places[stack[-1]] > place:
-            after[stack.pop()] = i
-        before[i] = stack[-1] if stack else -1
-        stack.append(i)
-    return before, after
+def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order of their first ``length`` values, and whether each but the first
+    shares them with the one before. Prefix doubling: from four values to half the length,
+    then two overlapping halves. Values are below 2**15; length is 4 or more."""
+    n = len(text)
+    padded = np.concatenate([text + 1, np.zeros(3, np.int64)])
+    key = ((padded[:n] << 15 | padded[1 : n + 1]) << 15 | padded[2 : n + 2]) << 15 | padded[3 : n + 3]
+    step, shift = 4, 0
+    while True:
+        order = np.argsort(key)
+        ordered = key[order]
+        same = ordered[1:] == ordered[:-1]
+        if shift or step == length:
+            return order, same
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[1], 1 + np.cumsum(~same)])
+        shift = 0 if 2 * step < length else length - step
+        ahead = np.zeros(n, np.int64)
+        ahead[: n - (shift or step)] = rank[shift or step :]
+        key, step = rank * (n + 1) + ahead, 2 * step
 
 
 def factors(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts whose longest previous factor, and whose longest next factor, reach ``length``.
 
-    Only runs of the suffix order whose neighbours share ``length`` bytes can hold such
-    starts; inside them the smaller and larger neighbours are found with a stack.
+    A previous factor is the longest common prefix with the previous or next smaller place
+    in suffix order. In a run of neighbours that share ``length`` values one of the two is
+    in the run for all places but the smallest; outside the run they share fewer. Next
+    factors likewise, with larger places.
     """
-    order, ranks = suffix_order(text, length)
-    linked = common_prefix(ranks, order[:-1], order[1:]) >= length
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], linked, [False]]).astype(np.int8)))
-    earlier, later = [], []
-    for begin, end in zip(edges[0::2], edges[1::2] + 1):
-        run = order[begin:end]
-        for found, sign in ((earlier, 1), (later, -1)):
-            before, after = nearest_smaller((sign * run).tolist())
-            for side in (before, after):
-                side = np.array(side)
-                has = np.flatnonzero(side >= 0)
-                long = common_prefix(ranks, run[has], run[side[has]]) >= length
-                found.append(run[has[long]])
-    gather = lambda x: np.unique(np.concatenate([np.zeros(0, np.int64), *x]))
-    return gather(earlier), gather(later)
-
-
-def marked_by_sorting(contents: DataFrame, length: int) -> DataFrame:
-    """(doc, at, earlier, later): starts of distinct blocks that have a factor before or after.
+    if len(text) < length:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order, same = suffix_order(text, length)
+    heads = np.flatnonzero(np.concatenate([[True], ~same]))
+    sizes = np.diff(np.concatenate([heads, [len(order)]]))
+    least = np.repeat(np.minimum.reduceat(order, heads), sizes)
+    most = np.repeat(np.maximum.reduceat(order, heads), sizes)
+    return np.sort(order[order > least]), np.sort(order[order < most])
+
+
+def found_by_sorting(contents: DataFrame, length: int, keep_first: bool) -> DataFrame:
+    """(doc, begin, end): bytes of distinct blocks that have a factor before, or any factor.
 
     contents: (anchor, doc, at, bytes); the blocks of an anchor arrive together.
     """
@@ -196,23 +172,23 @@ def marked_by_sorting(contents: DataFrame, length: int) -> DataFrame:
                 begins.append(at)
                 pieces += [np.frombuffer(raw, np.uint8).astype(np.int64), np.array([256 + k])]
                 at += len(raw) + 1
-            found = factors(np.concatenate(pieces), length)
-            rows = np.unique(np.concatenate(found))
-            block = np.searchsorted(begins, rows, side="right") - 1
-            doc, place = np.array([h[0] for h in held]), np.array([h[1] for h in held])
+            earlier, later = factors(np.concatenate(pieces), length)
+            rows = earlier if keep_first else np.union1d(earlier, later)
+            # Runs of starts; separators lie between blocks, so no run crosses one.
+            cuts = np.flatnonzero(np.diff(rows) != 1)
+            first = rows[np.concatenate([[0], cuts + 1])] if len(rows) else rows
+            last = rows[np.concatenate([cuts, [len(rows) - 1]])] if len(rows) else rows
+            block = np.searchsorted(begins, first, side="right") - 1
+            doc = np.array([h[0] for h in held], np.int64)
+            move = np.array([h[1] for h in held], np.int64) - np.array(begins, np.int64)
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc[block]),
-                    pa.array(place[block] + rows - np.array(begins)[block]),
-                    pa.array(np.isin(rows, found[0])),
-                    pa.array(np.isin(rows, found[1])),
-                ],
-                names=["doc", "at", "earlier", "later"],
+                [pa.array(doc[block]), pa.array(first + move[block]), pa.array(last + move[block] + length)],
+                names=["doc", "begin", "end"],
             )
 
         for batch in batches:
             for anchor, doc, at, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if anchor != last and size >= SORT_BYTES:
+                if anchor != last and size >= SORT_BYTES and held:
                     yield flush()
                     held, size = [], 0
                 held.append((doc, at, raw))
@@ -221,10 +197,10 @@ def marked_by_sorting(contents: DataFrame, length: int) -> DataFrame:
             yield flush()
 
     parts = contents.repartition(int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions")), "anchor").sortWithinPartitions("anchor")
-    return parts.mapInArrow(mark, "doc bigint, at bigint, earlier boolean, later boolean")
+    return parts.mapInArrow(mark, "doc bigint, begin bigint, end bigint")
 
 
-def marked_by_counting(contents: DataFrame, length: int) -> DataFrame:
+def found_by_counting(contents: DataFrame, length: int, keep_first: bool) -> DataFrame:
     """The same by one hash per start, for anchors with very many distinct blocks."""
 
     def explode(batches):
@@ -233,9 +209,8 @@ def marked_by_counting(contents: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for doc, at, raw in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
                 view, n = memoryview(raw), len(raw) - length + 1
-                codes = np.array([xxhash.xxh3_128_intdigest(view[i : i + length]) % (1 << 127) for i in range(n)], object)
-                high = (codes >> 64).astype(np.int64)
-                low = (codes & ((1 << 64) - 1)).astype(np.uint64).view(np.int64)
+                code = (xxhash.xxh3_64_intdigest(view[i : i + length], seed) for seed in (0, 1) for i in range(n))
+                high, low = np.fromiter(code, np.uint64, 2 * n).view(np.int64).reshape(2, n)
                 places = np.arange(at, at + n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, doc)), pa.array(places), pa.array(high), pa.array(low)],
@@ -249,9 +224,9 @@ def marked_by_counting(contents: DataFrame, length: int) -> DataFrame:
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first < last")
     )
-    return starts.join(shared, ["high", "low"]).select(
-        "doc", "at", (F.struct("doc", "at") > F.col("first")).alias("earlier"), (F.struct("doc", "at") < F.col("last")).alias("later")
-    )
+    again = starts.join(shared, ["high", "low"])
+    again = again.where(place > F.col("first")) if keep_first else again
+    return again.select("doc", F.col("at").alias("begin"), (F.col("at") + length).alias("end"))
 
 
 def repeated_spans(
@@ -311,11 +286,9 @@ def repeated_spans(
     contents = stage(
         texts.mapInArrow(fetch, "anchor bigint, doc bigint, at bigint, bytes binary, blocks bigint"), "repeats-contents"
     )
-    marks = marked_by_sorting(contents.where(F.col("blocks") <= SORTED_BLOCKS).drop("blocks"), length).union(
-        marked_by_counting(contents.where(F.col("blocks") > SORTED_BLOCKS).drop("blocks"), length)
-    )
-    marks = marks.where("earlier") if keep_first else marks.where("earlier OR later")
-    return whole.union(marks.select("doc", F.col("at").alias("begin"), (F.col("at") + length).alias("end")))
+    few = contents.where(F.col("blocks") <= SORTED_BLOCKS).drop("blocks")
+    many = contents.where(F.col("blocks") > SORTED_BLOCKS).drop("blocks")
+    return whole.union(found_by_sorting(few, length, keep_first)).union(found_by_counting(many, length, keep_first))
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
