@@ -191,11 +191,13 @@ def near_duplicates(
     rows = usable.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    # Buckets that hold more than one set.
-    lead = (
+    # Buckets that hold more than one set. Written, so that the join can split a hot bucket.
+    lead = stage(
         rows.groupBy("bucket")
         .agg(F.min(F.struct("node", "n")).alias("lead"), F.max("node").alias("top"))
         .where("lead.node < top")
+        .select("bucket", "lead"),
+        "minmax-buckets",
     )
     members = stage(rows.join(lead, "bucket").select("bucket", "node", "n", "lead"), "minmax-members")
     first = stage(

@@ -12,10 +12,11 @@ A start is repeated if the ``length`` bytes from there also start elsewhere.
    suffix the longest common prefix with the previous and next smaller positions
    (longest previous factor) and with the previous and next larger ones (longest next
    factor), up to ``length``. Factors of ``length`` bytes mark repeated starts.
-4. An anchor with more distinct blocks than one sort should hold goes another way, as
-   exact: a row per start with the hash of its string, counted with partial sums.
+4. An anchor with more distinct blocks than one sort should hold has its blocks cut again
+   by longer grams, with steps 2 and 3 for the smaller blocks. At the last gram, as long
+   as the strings, blocks are single starts and equal ones are one.
 
-No group is collected whole: step 2 and 4 aggregate, step 3 holds bounded groups.
+No group is collected whole: step 2 aggregates, step 3 holds bounded groups.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from leafmill.session import stage
 LENGTH = 200
 GRAM = 64
 
-# Distinct blocks of one anchor that are sorted together; above, starts are counted.
+# Distinct blocks of one anchor that are sorted together; more are cut by longer grams.
 SORTED_BLOCKS = 256
 
 # Bytes sorted at a time.
@@ -200,33 +201,56 @@ def found_by_sorting(contents: DataFrame, length: int, keep_first: bool) -> Data
     return parts.mapInArrow(mark, "doc bigint, begin bigint, end bigint")
 
 
-def found_by_counting(contents: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """The same by one hash per start, for anchors with very many distinct blocks."""
+def cut_again(contents: DataFrame, length: int, gram: int) -> DataFrame:
+    """(anchor, content, doc, at, bytes): the blocks' own blocks by a longer gram."""
 
-    def explode(batches):
+    def cut(batches):
         import xxhash
 
+        kit = (letters(), *powers(PIECE + length + 1))
         for batch in batches:
-            for doc, at, raw in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
-                view, n = memoryview(raw), len(raw) - length + 1
-                code = (xxhash.xxh3_64_intdigest(view[i : i + length], seed) for seed in (0, 1) for i in range(n))
-                high, low = np.fromiter(code, np.uint64, 2 * n).view(np.int64).reshape(2, n)
-                places = np.arange(at, at + n)
+            doc, at = batch.column("doc").to_numpy(), batch.column("at").to_numpy()
+            raw = batch.column("bytes").cast(pa.large_binary())
+            data, offsets = text_bytes(raw)
+            for first, last in slices(offsets):
+                part, local = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+                anchor, _, begin, end = blocks(part, local, length, gram, kit)
+                row = np.searchsorted(local, begin, side="right") - 1
+                pieces = [part[a : b + length].tobytes() for a, b in zip(begin.tolist(), end.tolist())]
+                content = np.array([xxhash.xxh3_64_intdigest(x) for x in pieces], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, doc)), pa.array(places), pa.array(high), pa.array(low)],
-                    names=["doc", "at", "high", "low"],
+                    [
+                        pa.array(anchor.astype(np.int64)),
+                        pa.array(content),
+                        pa.array(doc[first:last][row]),
+                        pa.array(at[first:last][row] + begin - local[row]),
+                        pa.array(pieces, pa.binary()),
+                    ],
+                    names=["anchor", "content", "doc", "at", "bytes"],
                 )
 
-    starts = contents.mapInArrow(explode, "doc bigint, at bigint, high bigint, low bigint")
-    place = F.struct("doc", "at")
-    shared = (
-        starts.groupBy("high", "low")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first < last")
+    return contents.mapInArrow(cut, "anchor bigint, content bigint, doc bigint, at bigint, bytes binary")
+
+
+def found(contents: DataFrame, length: int, keep_first: bool, grams: tuple[int, ...]) -> DataFrame:
+    """(doc, begin, end) of the blocks in (anchor, doc, at, bytes, blocks), which are distinct."""
+    few = contents.where(F.col("blocks") <= SORTED_BLOCKS).drop("blocks")
+    many = contents.where(F.col("blocks") > SORTED_BLOCKS).drop("blocks")
+    spans = found_by_sorting(few, length, keep_first)
+    if not grams or many.isEmpty():
+        return spans
+    smaller = stage(cut_again(many, length, grams[0]), "repeats-blocks")
+    distinct = stage(
+        smaller.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc", "at", "bytes")).alias("first")),
+        "repeats-distinct",
     )
-    again = starts.join(shared, ["high", "low"])
-    again = again.where(place > F.col("first")) if keep_first else again
-    return again.select("doc", F.col("at").alias("begin"), (F.col("at") + length).alias("end"))
+    again = distinct.where("times > 1").select("anchor", "content", F.col("first.doc").alias("doc1"), F.col("first.at").alias("at1"))
+    whole = smaller.join(again, ["anchor", "content"])
+    whole = whole.where("doc <> doc1 OR at <> at1") if keep_first else whole
+    whole = whole.select("doc", F.col("at").alias("begin"), (F.col("at") + F.length("bytes")).alias("end"))
+    several = stage(distinct.groupBy("anchor").agg(F.count("*").alias("blocks")).where("blocks > 1"), "repeats-several")
+    rest = stage(distinct.join(several, "anchor").select("anchor", "first.*", "blocks"), "repeats-contents")
+    return spans.union(whole).union(found(rest, length, keep_first, grams[1:]))
 
 
 def repeated_spans(
@@ -240,7 +264,10 @@ def repeated_spans(
     """
     named = docs.select(doc.alias("doc"), text.alias("text"))
     all_blocks = anchored(named, length, gram)
-    seen = all_blocks.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
+    # Written, so that the join has plain exchanges on both sides and can split a hot anchor.
+    seen = stage(
+        all_blocks.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "repeats-seen"
+    )
     known = stage(all_blocks.join(seen, "anchor"), "repeats-blocks")
 
     distinct = stage(
@@ -286,9 +313,8 @@ def repeated_spans(
     contents = stage(
         texts.mapInArrow(fetch, "anchor bigint, doc bigint, at bigint, bytes binary, blocks bigint"), "repeats-contents"
     )
-    few = contents.where(F.col("blocks") <= SORTED_BLOCKS).drop("blocks")
-    many = contents.where(F.col("blocks") > SORTED_BLOCKS).drop("blocks")
-    return whole.union(found_by_sorting(few, length, keep_first)).union(found_by_counting(many, length, keep_first))
+    longer = tuple(length - (length - gram) // part for part in (3, 12)) + (length,)
+    return whole.union(found(contents, length, keep_first, longer))
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
