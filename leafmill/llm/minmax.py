@@ -6,7 +6,7 @@ a signature of the same length. Bands of a few values each, taken from different
 permutations, propose pairs; whole sets confirm them.
 
 Pairs are proposed without listing groups: in each bucket every member is held
-against the smallest one. What this joins is contracted; in a bucket that still has
+against the one that meets most others. What this joins is contracted; in a bucket that still has
 several components, members outside its largest component are held against all
 others. Pairs inside one component need no test, so components are those of all
 proposed pairs. A node is a distinct set (its 64-bit hash), so copies cost nothing.
@@ -114,8 +114,8 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, permutations:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(sketch, schema)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of nodes whose whole sets reach the similarity."""
+def measured(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """Pairs (a, b) of nodes with the sizes ``shared`` and ``total`` of intersection and union."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     chosen = stage(
         sketch.select("doc_id", "node").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")),
@@ -138,8 +138,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str,
     return (
         pairs.join(whole.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
         .join(whole.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-        .where(100 * shared >= percent * (F.size("items_a") + F.size("items_b") - shared))
-        .select("a", "b")
+        .select("a", "b", shared.alias("shared"), (F.size("items_a") + F.size("items_b")).alias("both"))
+        .select("a", "b", "shared", (F.col("both") - F.col("shared")).alias("total"))
     )
 
 
@@ -191,28 +191,34 @@ def near_duplicates(
     rows = usable.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    # Buckets that hold more than one set. Written, so that the join can split a hot bucket.
-    lead = stage(
-        rows.groupBy("bucket")
-        .agg(F.min(F.struct("node", "n")).alias("lead"), F.max("node").alias("top"))
-        .where("lead.node < top")
-        .select("bucket", "lead"),
+    # Buckets that hold more than one set. Tables are written where a join must be able to
+    # split a hot key, which it can't if an aggregate has dealt the rows by that key.
+    shared = stage(
+        rows.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("bucket"),
         "minmax-buckets",
     )
-    members = stage(rows.join(lead, "bucket").select("bucket", "node", "n", "lead"), "minmax-members")
+    members = stage(rows.join(shared, "bucket").distinct(), "minmax-members")
+    # The member that meets most others leads: in a group of edited copies, their original.
+    sizes = stage(members.groupBy("bucket").agg(F.count("*").alias("size")), "minmax-sizes")
+    weights = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("weight"))
+    lead = stage(
+        members.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("lead")), "minmax-leads"
+    )
     first = stage(
-        members.where((F.col("node") != F.col("lead.node")) & near(F.col("n"), F.col("lead.n")))
-        .select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
+        members.join(lead, "bucket")
+        .where((F.col("node") != F.col("lead.node")) & near(F.col("n"), F.col("lead.n")))
+        .select(F.least("lead.node", "node").alias("a"), F.greatest("lead.node", "node").alias("b"))
         .distinct(),
         "minmax-pairs",
     )
-    edges = stage(confirmed(first, docs, usable, doc_id, text, width, percent), "minmax-links")
+    linked = F.expr(f"100 * shared >= {percent} * total")
+    tested = stage(measured(first, docs, usable, doc_id, text, width), "minmax-tested")
+    edges = tested.where(linked).select("a", "b")
     labels = stage(components(edges), "minmax-labels")
 
     # Buckets that still hold several components.
     placed = (
-        members.select("bucket", "node", "n").distinct()
-        .join(labels, "node", "left")
+        members.join(labels, "node", "left")
         .select("bucket", "node", "n", F.coalesce("label", "node").alias("label"))
     )
     per_label = placed.groupBy("bucket", "label").agg(F.count("*").alias("size"))
@@ -222,19 +228,34 @@ def near_duplicates(
         .where("parts > 1 AND total > 2")
         .select("bucket", F.col("main.label").alias("main"))
     )
-    open_rows = stage(placed.join(largest, "bucket"), "minmax-open")
-    other = open_rows.select("bucket", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+    # 1 - similarity is a metric: texts whose distances to the leader differ by more than
+    # a link's can't be linked.
+    far = F.when(F.col("node") == F.col("lead.node"), 0.0).otherwise(1 - F.col("shared") / F.col("total"))
+    open_rows = stage(
+        placed.join(stage(largest, "minmax-mixed"), "bucket")
+        .join(lead, "bucket")
+        .withColumns({"a": F.least("lead.node", "node"), "b": F.greatest("lead.node", "node")})
+        .join(tested, ["a", "b"], "left")
+        .select("bucket", "node", "n", "label", "main", far.alias("far")),
+        "minmax-open",
+    )
+    other = open_rows.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "label", "far")))
+    reach = 1 - percent / 100 + 1e-9
     second = stage(
         open_rows.where("label <> main")
         .join(other, "bucket")
-        .where((F.col("label") != F.col("label2")) & near(F.col("n"), F.col("n2")))
+        .where(
+            (F.col("label") != F.col("label2"))
+            & near(F.col("n"), F.col("n2"))
+            & F.coalesce(F.abs(F.col("far") - F.col("far2")) <= reach, F.lit(True))
+        )
         .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
         .distinct()
         .join(first, ["a", "b"], "left_anti"),
         "minmax-pairs",
     )
     if not second.isEmpty():
-        more = stage(confirmed(second, docs, usable, doc_id, text, width, percent), "minmax-links")
+        more = stage(measured(second, docs, usable, doc_id, text, width).where(linked).select("a", "b"), "minmax-links")
         if not more.isEmpty():
             # Contracted: components so far are single nodes now.
             labelled = labels.union(more.select("a", "a")).union(more.select("b", "b"))
