@@ -206,6 +206,8 @@ def page_rows(assembled: DataFrame) -> DataFrame:
     rows = assembled.withColumn("page", number).select(
         "record_id", "type", "refers_to", "digest", "payload_bytes", "payload_sha256", F.expr("try_cast(page AS BIGINT)").alias("page_id")
     )
+    # A response is joined with itself: null keys would all meet in one task.
+    rows = rows.withColumn("refers_to", F.coalesce("refers_to", "record_id"))
     targets = rows.where("type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
         F.max("payload_bytes").alias("full_bytes"), F.max("page_id").alias("original")
     )
@@ -214,5 +216,5 @@ def page_rows(assembled: DataFrame) -> DataFrame:
         F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"),
         F.coalesce("payload_sha256", "digest").alias("payload_digest"),
         F.col("type").alias("record_type"),
-        F.col("original").alias("refers_to"),
+        F.when(F.col("type") == "revisit", F.col("original")).alias("refers_to"),
     )
