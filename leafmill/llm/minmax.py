@@ -45,7 +45,7 @@ def shingle_sets(column: pa.Array, width: int, kit: tuple) -> Iterator[np.ndarra
             runs = words.copy()
             for k in range(1, width):
                 step = mixed(words + np.uint64(k * 0x632BE59BD9B4E019 & (1 << 64) - 1))
-                runs[: len(runs) - k] += step[k:]
+                runs[: max(0, len(runs) - k)] += step[k:]
             runs = mixed(runs)
         at = 0
         for n in counts.tolist():
