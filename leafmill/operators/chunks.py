@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,16 +74,19 @@ def union_chunks(*parts: DataFrame) -> DataFrame:
     return first
 
 
-def diff_chunks(old: DataFrame, new: DataFrame, key: str = "chunk_id", text: str = "chunk_text") -> DataFrame:
+def diff_chunks(old: DataFrame, new: DataFrame, key: str = "chunk_id", columns: Sequence[str] | None = None) -> DataFrame:
     """Changes that turn ``old`` into ``new``: key, change (insert, update, delete).
 
-    Only key and text hash are shuffled. Equal NULL texts count as unchanged. Should a
+    All columns that both have are compared, or only those named (for an index of the
+    text: its text). Only key and hash are shuffled. Equal NULLs count as unchanged. Should a
     key occur several times, its rows are compared as a whole: each side is reduced to
     one row per key before the join, on the join's own partitioning.
     """
 
+    compared = [c for c in (columns or new.columns) if c != key and c in old.columns]
+
     def reduced(frame: DataFrame, name: str) -> DataFrame:
-        hashed = frame.select(key, F.sha2(text, 256).alias("h"))
+        hashed = frame.select(key, F.sha2(F.to_json(F.struct(*compared)), 256).alias("h"))
         spread_sum = F.sum(F.xxhash64("h").cast("decimal(38,0)"))
         state = F.struct(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"), spread_sum.alias("all"))
         return hashed.groupBy(key).agg(state.alias(name))

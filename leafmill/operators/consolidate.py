@@ -44,7 +44,14 @@ def attach_fields_inline(extracted: DataFrame, rules: Sequence[GateRule], names:
 
 
 def attach_region(documents: DataFrame, regions: DataFrame, on: str = "substation_name", region: str = "region") -> DataFrame:
-    """Region by name from a mapping with one row per name. Spark broadcasts the
-    mapping when its measured size allows, and splits hot names otherwise (AQE)."""
-    mapping = regions.groupBy(on).agg(F.min(region).alias(region))
-    return documents.join(mapping, on, "left")
+    """Region by name. A name with several regions gets none, so that only those who see
+    all rows see it (``region_conflicts`` lists them). Spark broadcasts the mapping when
+    its measured size allows, and splits hot names otherwise (AQE)."""
+    one = F.when(F.min(region) == F.max(region), F.min(region))
+    return documents.join(regions.groupBy(on).agg(one.alias(region)), on, "left")
+
+
+def region_conflicts(regions: DataFrame, on: str = "substation_name", region: str = "region") -> DataFrame:
+    """Names mapped to several regions, with the regions."""
+    grouped = regions.groupBy(on).agg(F.sort_array(F.collect_set(region)).alias("regions"))
+    return grouped.where(F.size("regions") > 1)

@@ -15,18 +15,6 @@ NO_RESULTS = "(no relevant results)"
 CITATION_TAG = r"\[doc:([^\]]+)\]"
 CHAT_ROLES = ("user", "assistant")
 
-DEFAULT_RULES = (
-    "Answer questions about equipment, procedures and past decisions from the retrieved "
-    "context only, and name the chunk behind each statement as [doc:CHUNK_ID]. Say so "
-    "when the context holds no answer. Point out where an interview and a document "
-    "disagree. Be brief."
-)
-DEFAULT_CONTEXT_LEAD = "Retrieved context; cite the chunks you use as [doc:CHUNK_ID]."
-DEFAULT_ASSET_PROMPT = (
-    "In at most 100 words, what should an operator know about asset %s at %s before a "
-    "crew is sent? Name open issues, recent decisions and notes from interviews."
-)
-
 MESSAGES_PER_PART = 1000
 
 
@@ -73,8 +61,8 @@ def contexts(queries: DataFrame, hits: DataFrame) -> DataFrame:
 def message_rows(
     messages: DataFrame,
     context: DataFrame,
-    rules: str = DEFAULT_RULES,
-    lead: str = DEFAULT_CONTEXT_LEAD,
+    rules: str,
+    lead: str,
 ) -> DataFrame:
     """Model input as rows (conv_id, place, turn, role, content), ordered by (place,
     turn): the rules, the chat history, the retrieved context (conv_id, context).
@@ -128,14 +116,17 @@ def citations(hits: DataFrame) -> DataFrame:
 
 
 def cited(hits: DataFrame, answers: DataFrame) -> DataFrame:
-    """Hits with ``cited``: whether the answer (query_id, answer) names the chunk."""
-    tags = answers.select("query_id", F.regexp_extract_all("answer", F.lit(CITATION_TAG), F.lit(1)).alias("_tags"))
+    """Hits with ``cited``: whether the answer (query_id, answer) names the chunk. Of
+    several answers to a query the smallest counts."""
+    single = answers.groupBy("query_id").agg(F.min("answer").alias("answer"))
+    tags = single.select("query_id", F.regexp_extract_all("answer", F.lit(CITATION_TAG), F.lit(1)).alias("_tags"))
     return hits.join(tags, "query_id", "left").withColumn(
         "cited", F.coalesce(F.array_contains("_tags", F.col("chunk_id")), F.lit(False))
     ).drop("_tags")
 
 
-def asset_prompt(asset: Column, place: Column, template: str = DEFAULT_ASSET_PROMPT) -> Column:
+def asset_prompt(asset: Column, place: Column, template: str) -> Column:
+    """The user's template with asset and place in its two places (%s)."""
     return F.format_string(template, asset, place)
 
 

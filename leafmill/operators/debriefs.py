@@ -22,16 +22,6 @@ HEADER_FIELDS = (
 
 MAX_CUES = 10_000
 
-# Default cues per category. Replace them with a table of your own (cues_from_table).
-CUES: dict[str, tuple[str, ...]] = {
-    "decisions": ("left", "kept", "decided", "replaced", "reduced", "changed", "agreed"),
-    "rationale": ("because", "since", "the reason", "so that"),
-    "failure_modes": ("fault", "trip", "miscoordinated", "drift", "drifts", "burned", "quirk", "spike", "backwards"),
-    "cross_references": ("study", "record", "log", "procedure", "one-line", "drawing", "sop"),
-    "handshake_relationships": ("handshake", "understanding", "call their", "relationship"),
-}
-
-
 def cues_from_table(table: DataFrame) -> dict[str, tuple[str, ...]]:
     """Cues from rows (category, cue). A lexicon is small; its size is checked."""
     rows = table.select("category", "cue").distinct().limit(MAX_CUES + 1).collect()
@@ -77,8 +67,8 @@ def parse_header(transcripts: DataFrame, text: str = "transcript") -> DataFrame:
 
 def structure(
     transcripts: DataFrame,
+    cues: Mapping[str, Sequence[str]],
     text: str = "transcript",
-    cues: Mapping[str, Sequence[str]] = CUES,
     equipment: str = EQUIPMENT_PATTERN,
     topic: Column | None = None,
 ) -> DataFrame:

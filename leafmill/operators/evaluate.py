@@ -23,8 +23,11 @@ def contains_any(response: Column, expected: Column) -> Column:
 
 def score_run(questions: DataFrame, responses: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
     """Every question with its response and score. No response, or one with an
-    ``error``, scores 0 and stays in the table."""
-    answered = questions.join(responses, "request", "left")
+    ``error``, scores 0 and stays in the table. Of several responses to a request the
+    smallest row counts, so repeated responses never multiply questions."""
+    rest = [c for c in responses.columns if c != "request"]
+    single = responses.groupBy("request").agg(F.min(F.struct(*rest)).alias("r")).select("request", "r.*")
+    answered = questions.join(single, "request", "left")
     if "error" not in responses.columns:
         answered = answered.withColumn("error", F.lit(None).cast("string"))
     score = F.when(F.col("error").isNotNull(), F.lit(0.0)).otherwise(

@@ -3,6 +3,7 @@ not lost to rows the caller may not see."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,10 +39,13 @@ def register_functions(spark: SparkSession, regions_view: str, user: str, in_gro
 
     Open-source Spark has no group lookup, so membership is an argument.
     """
-    name = user.replace("'", "''")
+    if not re.fullmatch(r"\w+(\.\w+)*", regions_view):
+        raise ValueError("regions_view must be a plain view name")
+    # As hex digits: no user name can end the literal, whatever the session's escape rules.
+    name = f"decode(unhex('{user.encode().hex()}'), 'UTF-8')"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION region_visible(region STRING) RETURNS BOOLEAN RETURN "
-        f"region IN (SELECT region_code FROM {regions_view} WHERE user_email = '{name}') OR {str(is_admin).lower()}"
+        f"region IN (SELECT region_code FROM {regions_view} WHERE user_email = {name}) OR {str(is_admin).lower()}"
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION mask_sensitive(value STRING) RETURNS STRING RETURN "

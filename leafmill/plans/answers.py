@@ -35,13 +35,15 @@ def semantic_top_k(queries: DataFrame, index: SearchIndex, k: int = DEFAULT_K, d
 
 
 def hybrid_top_k(queries: DataFrame, index: SearchIndex, k: int = DEFAULT_K, depth: int = LIST_DEPTH) -> DataFrame:
-    """query_id, chunk_id, score, rank by fused keyword and vector ranks."""
+    """query_id, chunk_id, score, rank by fused keyword and vector ranks. Each list is
+    read to ``depth``, and never less than k deep."""
+    depth = max(depth, k)
     return fuse(keyword_top_k(queries, index.keyword, depth), semantic_top_k(queries, index, depth), k=k)
 
 
-def answer_hits(queries: DataFrame, index: SearchIndex, k: int = DEFAULT_K) -> DataFrame:
+def answer_hits(queries: DataFrame, index: SearchIndex, k: int = DEFAULT_K, depth: int = LIST_DEPTH) -> DataFrame:
     """Best chunks per question with their text and provenance."""
-    return with_chunks(hybrid_top_k(queries, index, k), index.chunks)
+    return with_chunks(hybrid_top_k(queries, index, k, depth), index.chunks)
 
 
 def questions(table: DataFrame, key: str, text: str) -> DataFrame:

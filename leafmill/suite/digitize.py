@@ -27,10 +27,10 @@ from leafmill.suite.common import (
 
 @register(
     "table_scan_s3",
-    "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'en'",
+    "SELECT doc_id, source, n_chars FROM documents",
 )
 def table_scan(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", "source", "n_chars")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
 
 
 @register(

@@ -5,6 +5,11 @@ import math
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from leafmill.operators.security import register_functions
+from leafmill.operators.consolidate import attach_region
+from leafmill.operators.consolidate import region_conflicts
+from leafmill.operators.hybrid import with_chunks
+from leafmill.operators.evaluate import score_run
 from pyspark.sql import functions as F
 
 from leafmill.operators.chunks import apply_changes, chunk_text, diff_chunks, document_chunks, union_chunks
@@ -222,33 +227,42 @@ def test_sources_merge_by_name(spark, rows):
 
 
 TRANSCRIPT = """Interview transcript
-Interviewee: Senior Engineer
+Interviewee: Master Potter
 Date: 2026-02-14
-Topic: Relay Coordination
-Interviewer: Archive Group
+Topic: Glazing
+Interviewer: Craft Museum
 ---
 
-We left 138L-1 as set because the feeder trips in winter. We kept 138B-2 as well. The reason is known to operations only. The study asks about this each year.
-That is a handshake deal of 2012.
+The glaze on vessel 138L-1 was thinned since humid weather thickens it. We also chose 138B-2. The cause was never written down. See the kiln diary for May.
+Two potters shook hands on that.
 ---
 not a header
 """
 
 
+POTTERY = {
+    "decisions": ("thinned", "chose"),
+    "rationale": ("since", "the cause"),
+    "failure_modes": ("cracked",),
+    "cross_references": ("diary",),
+    "handshake_relationships": ("shook hands",),
+}
+
+
 def test_header_and_structure(spark):
     frame = spark.createDataFrame([(TRANSCRIPT,), ("no header",), (None,)], "transcript string")
-    made = structure(parse_header(frame), text="body", topic=F.col("topic")).collect()
+    made = structure(parse_header(frame), POTTERY, text="body", topic=F.col("topic")).collect()
     first, plain, empty = made
-    assert (first["interviewee"], str(first["debrief_date"]), first["interviewer"]) == ("Senior Engineer", "2026-02-14", "Archive Group")
-    assert first["body"].startswith("We left") and first["body"].endswith("---\nnot a header")
+    assert (first["interviewee"], str(first["debrief_date"]), first["interviewer"]) == ("Master Potter", "2026-02-14", "Craft Museum")
+    assert first["body"].startswith("The glaze") and first["body"].endswith("---\nnot a header")
     s = first["structured"]
-    assert s["topics"] == ["Relay Coordination"] and s["equipment_mentioned"] == ["138L-1", "138B-2"]
+    assert s["topics"] == ["Glazing"] and s["equipment_mentioned"] == ["138L-1", "138B-2"]
     assert [tuple(d) for d in s["decisions"]] == [
-        ("We left 138L-1 as set because the feeder trips in winter.", "because the feeder trips in winter."),
-        ("We kept 138B-2 as well.", "The reason is known to operations only."),
+        ("The glaze on vessel 138L-1 was thinned since humid weather thickens it.", "since humid weather thickens it."),
+        ("We also chose 138B-2.", "The cause was never written down."),
     ]
-    assert s["cross_references"] == ["The study asks about this each year."]
-    assert s["handshake_relationships"] == ["That is a handshake deal of 2012."]
+    assert s["cross_references"] == ["See the kiln diary for May."]
+    assert s["handshake_relationships"] == ["Two potters shook hands on that."]
     assert s["failure_modes"] == []
     assert plain["body"] == "no header" and plain["topic"] is None
     for row in (plain, empty):
@@ -271,3 +285,40 @@ def test_row_filter_and_mask(spark, rows):
     assert row_filter(frame, users, "x", is_admin=True).count() == 4
     assert rows(mask(frame, ["secret"], False), "secret") == [("[redacted — request access]",)] * 4
     assert rows(mask(frame, ["secret"], F.col("region") == "NE").where("id = '1'"), "secret") == [("s",)]
+
+
+def test_user_names_cannot_open_the_row_filter(spark):
+    spark.createDataFrame([("u", "NE")], "user_email string, region_code string").createOrReplaceTempView("leafmill_test_regions")
+    for user, seen in (("u", True), ("\\' OR 1=1) --", False), ("' OR 'a'='a", False), ("nobody", False)):
+        register_functions(spark, "leafmill_test_regions", user, in_group=False)
+        assert spark.sql("SELECT region_visible('NE')").first()[0] is seen
+    with pytest.raises(ValueError):
+        register_functions(spark, "x) OR (1=1", "u", in_group=False)
+
+
+def test_region_conflicts_stay_closed(spark, rows):
+    names = spark.createDataFrame([("Oak", "NE"), ("Oak", "CE"), ("Elm", "SW"), ("Elm", "SW")], "substation_name string, region string")
+    documents = spark.createDataFrame([("Oak",), ("Elm",), (None,)], "substation_name string")
+    assert rows(attach_region(documents, names)) == [("Elm", "SW"), ("Oak", None), (None, None)]
+    assert rows(region_conflicts(names)) == [("Oak", ["CE", "NE"])]
+
+
+def test_changes_cover_every_column(spark, rows):
+    kinds = "chunk_id string, chunk_text string, substation_name string"
+    old = spark.createDataFrame([("a", "t", None), ("b", "t", "Oak")], kinds)
+    new = spark.createDataFrame([("a", "t", "Elm"), ("b", "t", "Oak")], kinds)
+    assert rows(diff_chunks(old, new)) == [("a", "update")]
+    assert rows(diff_chunks(old, new, columns=["chunk_text"])) == []
+    assert rows(apply_changes(old, new, diff_chunks(old, new))) == rows(new)
+
+
+def test_hits_without_a_chunk_stay(spark):
+    hits = spark.createDataFrame([(1, "gone", 1, 0.5)], "query_id long, chunk_id string, rank int, score double")
+    chunks = spark.createDataFrame([], "chunk_id string, doc_id string, source_path string, source_kind string, page_number int, chunk_text string")
+    assert tuple(with_chunks(hits, chunks).first()) == (1, 1, "gone", "", "", "", 0, "", 0.5)
+
+
+def test_repeated_responses_do_not_multiply(spark):
+    asked = spark.createDataFrame([("q", ["x"])], "request string, expected_contains_any array<string>")
+    said = spark.createDataFrame([("q", "x"), ("q", "y")], "request string, response string")
+    assert [r.response for r in score_run(asked, said, "r", F.current_timestamp()).collect()] == ["x"]

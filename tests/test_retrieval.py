@@ -243,7 +243,7 @@ def test_assets_are_keyed_by_code_and_place(spark, rows):
     codes = F.regexp_extract_all("chunk_text", F.lit(r"(\d+[LB]-\d)"), F.lit(1))
     assert rows(asset_hits(chunks, assets, codes, 6, "place"), "asset_id", "chunk_id", "rank") == [("A", "c1", 1), ("A", "c2", 2), ("B", "c3", 1)]
     assert rows(asset_hits(chunks, assets, codes, 2), "asset_id", "chunk_id") == [("A", "c1"), ("A", "c2"), ("B", "c1"), ("B", "c2")]
-    assert "138L-1 at Oak" in spark.range(1).select(asset_prompt(F.lit("138L-1"), F.lit("Oak"))).first()[0]
+    assert "138L-1 at Oak" in spark.range(1).select(asset_prompt(F.lit("138L-1"), F.lit("Oak"), "%s at %s?")).first()[0]
 
 
 def test_hybrid_answers_find_the_passage(spark):
