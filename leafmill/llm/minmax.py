@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import ascii_lower, letters, mixed, powers, slices, space_table, span_hashes, text_bytes, word_spans
@@ -32,6 +32,9 @@ PERCENT = 75
 PERMUTATIONS = 128
 BAND_VALUES = 5
 
+# Words of the bitmaps that hold a set's differences from its bucket's leader.
+BIT_WORDS = 8
+
 
 def shingle_sets(column: pa.Array, width: int, kit: tuple) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words make one shingle, none make none."""
@@ -114,8 +117,8 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, permutations:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(sketch, schema)
 
 
-def measured(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """Pairs (a, b) of nodes with the sizes ``shared`` and ``total`` of intersection and union."""
+def with_sets(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """Pairs (a, b) of nodes with their whole sets items_a and items_b, ascending as unsigned numbers."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     chosen = stage(
         sketch.select("doc_id", "node").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")),
@@ -134,15 +137,78 @@ def measured(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str,
 
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")
     whole = texts.select("node", "text").mapInArrow(sets, "node bigint, items array<bigint>")
-    shared = F.size(F.array_intersect("items_a", "items_b"))
-    return (
-        pairs.join(whole.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
-        .join(whole.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-        .select("a", "b", shared.alias("shared"), (F.size("items_a") + F.size("items_b")).alias("both"))
-        .select("a", "b", "shared", (F.col("both") - F.col("shared")).alias("total"))
+    return pairs.join(whole.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b").join(
+        whole.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a"
     )
 
 
+def measured(pairs: DataFrame) -> DataFrame:
+    """(a, b, shared, total) of pairs with sets: sizes of intersection and union."""
+    both = pairs.withColumn("shared", F.size(F.array_intersect("items_a", "items_b")).cast("bigint"))
+    return both.select("a", "b", "shared", (F.size("items_a") + F.size("items_b") - F.col("shared")).alias("total"))
+
+
+def bit_words(values: np.ndarray) -> np.ndarray:
+    """A bitmap of 64 * BIT_WORDS bits with the bit of every value."""
+    flags = np.zeros(64 * BIT_WORDS, np.uint8)
+    flags[(values & np.uint64(64 * BIT_WORDS - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).view(np.int64)
+
+
+def compared(pairs: DataFrame) -> DataFrame:
+    """``measured``, and bitmaps only_a and only_b of what one set has and the other lacks."""
+
+    def compare(batches):
+        for batch in batches:
+            left, right = batch.column("items_a"), batch.column("items_b")
+            values_a, values_b = (c.values.to_numpy(zero_copy_only=False).view(np.uint64) for c in (left, right))
+            ends_a, ends_b = left.offsets.to_numpy(), right.offsets.to_numpy()
+            n = batch.num_rows
+            shared, total = np.empty(n, np.int64), np.empty(n, np.int64)
+            bits = np.empty((2, n, BIT_WORDS), np.int64)
+            for i in range(n):
+                a, b = values_a[ends_a[i] : ends_a[i + 1]], values_b[ends_b[i] : ends_b[i + 1]]
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                in_b = b[at] == a
+                in_a = np.zeros(len(b), bool)
+                in_a[at[in_b]] = True
+                shared[i] = int(in_b.sum())
+                total[i] = len(a) + len(b) - shared[i]
+                bits[0, i], bits[1, i] = bit_words(a[~in_b]), bit_words(b[~in_a])
+            offsets = pa.array(np.arange(0, (n + 1) * BIT_WORDS, BIT_WORDS, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("a"),
+                    batch.column("b"),
+                    pa.array(shared),
+                    pa.array(total),
+                    *(pa.ListArray.from_arrays(offsets, pa.array(side.reshape(-1))) for side in bits),
+                ],
+                names=["a", "b", "shared", "total", "only_a", "only_b"],
+            )
+
+    schema = "a bigint, b bigint, shared bigint, total bigint, only_a array<bigint>, only_b array<bigint>"
+    return pairs.select("a", "b", "items_a", "items_b").mapInArrow(compare, schema)
+
+
+def bits_in(combine, x: str, y: str) -> Column:
+    """How many bits combine(word of x, word of y) has set over all words."""
+    return sum((F.bit_count(combine(F.get(x, F.lit(i)), F.get(y, F.lit(i)))) for i in range(BIT_WORDS)), F.lit(0))
+
+
+def most_shared() -> Column:
+    """No two sets of one bucket, compared with its leader, share more than this.
+
+    Of the leader's shingles neither lacks any that they share. Of the others, each has
+    at least one for every bit that the other does not have.
+    """
+    inside = F.least("shared", "shared2", F.col("size") - bits_in(lambda x, y: x.bitwiseOR(y), "lacks", "lacks2"))
+    alone = bits_in(lambda x, y: x.bitwiseAND(F.bitwise_not(y)), "adds", "adds2")
+    alone2 = bits_in(lambda x, y: y.bitwiseAND(F.bitwise_not(x)), "adds", "adds2")
+    outside = F.least(F.col("n") - F.col("shared") - alone, F.col("n2") - F.col("shared2") - alone2)
+    return inside + outside
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the undirected edges (a, b): label is the smallest reachable.
 
@@ -212,7 +278,7 @@ def near_duplicates(
         "minmax-pairs",
     )
     linked = F.expr(f"100 * shared >= {percent} * total")
-    tested = stage(measured(first, docs, usable, doc_id, text, width), "minmax-tested")
+    tested = stage(compared(with_sets(first, docs, usable, doc_id, text, width)), "minmax-tested")
     edges = tested.where(linked).select("a", "b")
     labels = stage(components(edges), "minmax-labels")
 
@@ -228,26 +294,39 @@ def near_duplicates(
         .where("parts > 1 AND total > 2")
         .select("bucket", F.col("main.label").alias("main"))
     )
-    # 1 - similarity is a metric: texts whose distances to the leader differ by more than
-    # a link's can't be linked.
-    far = F.when(F.col("node") == F.col("lead.node"), 0.0).otherwise(1 - F.col("shared") / F.col("total"))
+    # Most pairs of edited copies that are not alike are ruled out by what each has and
+    # lacks against the leader; the leader's own pairs are tested already.
+    is_a = F.col("node") == F.col("a")
     open_rows = stage(
         placed.join(stage(largest, "minmax-mixed"), "bucket")
         .join(lead, "bucket")
+        .where(F.col("node") != F.col("lead.node"))
         .withColumns({"a": F.least("lead.node", "node"), "b": F.greatest("lead.node", "node")})
         .join(tested, ["a", "b"], "left")
-        .select("bucket", "node", "n", "label", "main", far.alias("far")),
+        .select(
+            "bucket",
+            "node",
+            "n",
+            "label",
+            "main",
+            F.col("lead.n").alias("size"),
+            "shared",
+            F.when(is_a, F.col("only_a")).otherwise(F.col("only_b")).alias("adds"),
+            F.when(is_a, F.col("only_b")).otherwise(F.col("only_a")).alias("lacks"),
+        ),
         "minmax-open",
     )
-    other = open_rows.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "label", "far")))
-    reach = 1 - percent / 100 + 1e-9
+    other = open_rows.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "label", "shared", "adds", "lacks")))
+    enough = (100 + percent) * most_shared() >= percent * (F.col("n") + F.col("n2"))
     second = stage(
         open_rows.where("label <> main")
         .join(other, "bucket")
         .where(
             (F.col("label") != F.col("label2"))
+            # Where neither is in the largest component, once is enough.
+            & ((F.col("label2") == F.col("main")) | (F.col("node") < F.col("node2")))
             & near(F.col("n"), F.col("n2"))
-            & F.coalesce(F.abs(F.col("far") - F.col("far2")) <= reach, F.lit(True))
+            & F.coalesce(enough, F.lit(True))
         )
         .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
         .distinct()
@@ -255,7 +334,7 @@ def near_duplicates(
         "minmax-pairs",
     )
     if not second.isEmpty():
-        more = stage(measured(second, docs, usable, doc_id, text, width).where(linked).select("a", "b"), "minmax-links")
+        more = stage(measured(with_sets(second, docs, usable, doc_id, text, width)).where(linked).select("a", "b"), "minmax-links")
         if not more.isEmpty():
             # Contracted: components so far are single nodes now.
             labelled = labels.union(more.select("a", "a")).union(more.select("b", "b"))
