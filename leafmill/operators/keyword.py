@@ -159,7 +159,7 @@ def _scan(block: _Block, k: int, types: tuple):
                 user = block.users[np.repeat(block.starts[term], times) + step]
                 cell = np.repeat(row, times) * width + user
                 scores = np.bincount(cell, np.repeat(weight, times), (stop - start) * width)
-                best.add(np.round(scores.reshape(stop - start, width), SCORE_DECIMALS), ids[start:stop])
+                best.add(scores.reshape(stop - start, width), ids[start:stop])
         yield best.batch(types)
 
     return run

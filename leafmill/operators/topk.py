@@ -62,15 +62,20 @@ class RunningBest:
         self.best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(query_ids)
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Scores of some rows (rows by queries) against all queries."""
+        """Scores of some rows (rows by queries) against all queries.
+
+        With ``positive``, a row is a hit if its score is above zero before rounding.
+        """
         if not len(ids):
             return
+        hit = scores > 0 if self.positive else None
+        scores = np.round(scores, SCORE_DECIMALS)
+        if hit is not None:
+            scores[~hit] = -np.inf
         # Only queries for which these rows hold something good enough.
         for q in np.flatnonzero(scores.max(axis=0) >= self.floor):
             column = scores[:, q]
-            near = column >= self.floor[q]
-            if self.positive:
-                near &= column > 0
+            near = (column >= self.floor[q]) & (column > -np.inf)
             kept, names = column[near], ids[near]
             held = self.best[q]
             if held is not None:

@@ -107,7 +107,7 @@ def _scan(block: _Block, dims: int, k: int, positive: bool, types: tuple):
                 lo, hi = offsets[start], offsets[stop]
                 owner = np.repeat(np.arange(stop - start), np.diff(offsets[start : stop + 1]))
                 dense[owner, buckets[lo:hi]] = weights[lo:hi]
-                best.add(np.round(dense @ matrix, SCORE_DECIMALS), ids[start:stop])
+                best.add(dense @ matrix, ids[start:stop])
         yield best.batch(types)
 
     return run

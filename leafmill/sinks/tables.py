@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 DEFAULT_SCHEMAS = ("raw", "curated", "agents")
 
 
-def ensure_schemas(spark: SparkSession, names: Sequence[str] = DEFAULT_SCHEMAS) -> None:
+def ensure_schemas(spark: SparkSession, names: Sequence[str] = DEFAULT_SCHEMAS, root: str | None = None) -> None:
+    """Create what is missing, below ``root`` if given, else in the warehouse."""
     for name in names:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+        place = "" if root is None else f" LOCATION '{root.rstrip('/')}/{name}'"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
 def stamped(frame: DataFrame, column: str) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from leafmill.operators.context import (
 )
 from leafmill.operators.hybrid import fuse, with_chunks
 from leafmill.operators.keyword import KeywordIndex, build_index, joined_top_k, keyword_top_k, refresh_index
+from leafmill.operators.topk import RunningBest
 from leafmill.operators.vectors import dense_vectors, text_vectors, vector_changes, vector_top_k, vector_top_k_within
 from leafmill.plans.answers import answer_hits, build_search_index
 
@@ -253,3 +255,22 @@ def test_hybrid_answers_find_the_passage(spark):
     hits = answer_hits(asked, index, 3)
     assert [r["chunk_id"] for r in hits.where("rank = 1").collect()] == ["c17"]
     assert hits.count() == 3
+
+
+def test_hits_are_decided_before_rounding():
+    """A score that rounds to zero is still a hit; no score is none."""
+    best = RunningBest(["q", "r"], 3, positive=True)
+    best.add(np.array([[3e-8, 0.0], [0.0, 0.0], [2e-8, 0.0]]), np.array(["b", "c", "a"]))
+    best.add(np.array([[0.0, 0.0], [1e-8, 0.0], [0.5, 0.0]]), np.array(["d", "e", "f"]))
+    assert best.best[1] is None
+    scores, ids = best.best[0]
+    assert (scores.tolist(), ids.tolist()) == ([0.5, 0.0, 0.0], ["f", "a", "b"])
+
+
+def test_scan_and_join_agree_on_a_word_of_all_chunks(spark):
+    """A word that every chunk holds weighs little, but counts as shared in both forms."""
+    chunks = spark.range(300).select(F.col("id").cast("string").alias("chunk_id"), F.lit("same word").alias("chunk_text"))
+    asked = spark.createDataFrame([("q", "word"), ("none", "other")], "query_id string, query_text string")
+    index = build_index(chunks)
+    scan, join = (sorted(map(tuple, f(asked, index, 5).collect())) for f in (keyword_top_k, joined_top_k))
+    assert scan == join and len(scan) == 5
