@@ -106,6 +106,27 @@ def test_near_duplicates_chain_and_crowd(spark):
     assert {k: r.component_id for k, r in got.items()} == label
 
 
+def test_near_duplicates_of_many_unlike_edits(spark):
+    """Copies too far from their original to be linked with it are linked with each other where they are alike."""
+    rng, rows, base = random.Random(9), [], words_of(4, 160).split()
+    for k in range(120):
+        line = list(base)
+        for at in rng.sample(range(160), 4 + k % 9):
+            line[at] = f"e{k}y{at}"
+        rows.append((k, " ".join(line)))
+        if k % 10 == 0:
+            line[rng.randrange(160)] = f"again{k}"
+            rows.append((1000 + k, " ".join(line)))
+    got = table_of(minmax.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    sets, label = {k: shingles(t) for k, t in rows}, {k: k for k, _ in rows}
+    for _ in range(8):
+        for a in label:
+            for b in label:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    assert {k: r.component_id for k, r in got.items()} == label
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     assert {r.node: r.label for r in minmax.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
