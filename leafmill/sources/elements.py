@@ -18,9 +18,12 @@ LINES_PER_PAGE = 20
 
 BLOCK_MARK = "\u0001"
 TYPE_MARK = "\u0002"
-HIDDEN_HTML = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<head>.*?</head>"
-BLOCK_OPEN = r"<(h1|p|li)(?:\s[^>]*)?>"
-BLOCK_EDGE = r"</?(?:h1|p|li|ul|div|nav|article|footer|body|html)(?:\s[^>]*)?>"
+HIDDEN_HTML = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<head\b[^>]*>.*?</head>"
+# Tags inside a line of text; every other tag ends a block.
+INLINE_TAG = r"(?i)</?(?:a|abbr|b|bdi|bdo|cite|code|del|dfn|em|font|i|ins|kbd|mark|q|s|samp|small|span|strong|sub|sup|time|tt|u|var|wbr)(?:[\s/][^>]*)?>"
+BLOCK_CLOSE = r"</[A-Za-z][^>]*>"
+BLOCK_OPEN = r"<([A-Za-z][A-Za-z0-9]*)[^>]*>"
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
 def _finish(frame: DataFrame) -> DataFrame:
@@ -43,18 +46,29 @@ def line_elements(files: DataFrame, text: str = "text", lines_per_page: int = LI
 
 
 def _block_segments(html: Column) -> Column:
-    visible = F.regexp_replace(html, HIDDEN_HTML, "")
-    opened = F.regexp_replace(visible, BLOCK_OPEN, BLOCK_MARK + "$1" + TYPE_MARK)
-    cut = F.regexp_replace(opened, BLOCK_EDGE, BLOCK_MARK)
-    return F.split(F.regexp_replace(cut, r"<[^>]*>", ""), BLOCK_MARK)
+    """Text between block tags; each but the first starts with the tag's name, "text" after an end tag."""
+    visible = F.regexp_replace(F.translate(html, BLOCK_MARK + TYPE_MARK, ""), HIDDEN_HTML, "")
+    plain = F.regexp_replace(visible, INLINE_TAG, "")
+    closed = F.regexp_replace(plain, BLOCK_CLOSE, BLOCK_MARK + "text" + TYPE_MARK)
+    opened = F.regexp_replace(closed, BLOCK_OPEN, BLOCK_MARK + "$1" + TYPE_MARK)
+    return F.split(F.concat(F.lit("text" + TYPE_MARK), opened), BLOCK_MARK)
+
+
+def _readable(text: Column) -> Column:
+    """White space as single spaces, then the five basic entities; ``&amp;`` last."""
+    text = F.trim(F.regexp_replace(text, r"[ \t\r\n\f]+", " "))
+    for entity, sign in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return text
 
 
 def html_elements(files: DataFrame, html: str = "html") -> DataFrame:
-    """Headings, paragraphs and list items. Cutting at block tags needs no end tag,
-    so unclosed paragraphs do not swallow their neighbours. All on page one."""
+    """All visible text, one element per run between block tags, typed by the tag that
+    opens it, or ``text`` after an end tag. Cutting at tags needs no end tag, so unclosed
+    paragraphs do not swallow their neighbours. All on page one."""
     segments = files.select(
         "doc_id", "path", "source_kind", F.posexplode(_block_segments(F.col(html))).alias("pos", "segment")
-    ).where(F.col("segment").contains(TYPE_MARK))
+    )
     return _finish(
         segments.select(
             "doc_id",
@@ -62,8 +76,8 @@ def html_elements(files: DataFrame, html: str = "html") -> DataFrame:
             "source_kind",
             "pos",
             F.col("pos").cast("string").alias("element_id"),
-            F.substring_index("segment", TYPE_MARK, 1).alias("element_type"),
-            F.trim(F.substring_index("segment", TYPE_MARK, -1)).alias("element_text"),
+            F.lower(F.substring_index("segment", TYPE_MARK, 1)).alias("element_type"),
+            _readable(F.substring_index("segment", TYPE_MARK, -1)).alias("element_text"),
             F.lit(1).alias("page_number"),
         )
     )

@@ -118,6 +118,29 @@ PAGES_SQL = corpus_sql("pages")
 CANON_SQL = corpus_sql("canon")
 CHUNKS_SQL = corpus_sql("chunks")
 
+# SQL: web pages cut into tags and text; each block tag starts a new run of text.
+WEB_SQL = r"""web_tokens AS (
+  SELECT url, unnest(t) AS token, generate_subscripts(t, 1) AS seq
+  FROM (SELECT url, regexp_extract_all(
+          regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<head\b[^>]*>.*?</head>', '', 'g'),
+          '</?[A-Za-z][^>]*>|[^<]+|<') AS t FROM pages)),
+web_marked AS (
+  SELECT url, token, seq, regexp_matches(token, '^</?[A-Za-z][^>]*>$') AS is_tag,
+         lower(regexp_extract(token, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) AS name
+  FROM web_tokens),
+web_runs AS (
+  SELECT *, is_tag AND NOT list_contains(string_split('a abbr b bdi bdo cite code del dfn em font i ins kbd mark q s samp small span strong sub sup time tt u var wbr', ' '), name) AS cuts
+  FROM web_marked),
+web_placed AS (
+  SELECT *, CAST(count(CASE WHEN cuts THEN 1 END) OVER (PARTITION BY url ORDER BY seq) AS INTEGER) AS pos FROM web_runs),
+web_elements AS (
+  SELECT url, pos,
+         coalesce(max(CASE WHEN cuts AND token NOT LIKE '</%' THEN name END), 'text') AS kind,
+         replace(replace(replace(replace(replace(
+           trim(regexp_replace(coalesce(string_agg(CASE WHEN NOT is_tag THEN token END, '' ORDER BY seq), ''), '[ \t\r\n\f]+', ' ', 'g')),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS body
+  FROM web_placed GROUP BY url, pos)"""
+
 TOKENS_SQL = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+(?:-[\p{{L}}\p{{N}}]+)*')"
 
 TERMS_SQL = (

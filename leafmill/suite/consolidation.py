@@ -27,6 +27,7 @@ from leafmill.suite.common import (
     TERMS_SQL,
     TURNS_SQL,
     VECTORS_SQL,
+    WEB_SQL,
     chunks,
     corpus_sql,
     files,
@@ -86,19 +87,8 @@ def document_fields_inline(spark, sf_dir):
 @register(
     "merged_sources_o2",
     rf"""WITH {PAGES_SQL}, {TURNS_SQL},
-    shown AS (
-      SELECT url, regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<head>.*?</head>', '', 'g') AS h
-      FROM pages),
-    parts AS (
-      SELECT url, string_split(regexp_replace(regexp_replace(
-        regexp_replace(h, '<(h1|p|li)(?:\s[^>]*)?>', chr(1) || '\1' || chr(2), 'g'),
-        '</?(?:h1|p|li|ul|div|nav|article|footer|body|html)(?:\s[^>]*)?>', chr(1), 'g'),
-        '<[^>]*>', '', 'g'), chr(1)) AS ps
-      FROM shown),
-    cut AS (SELECT url, unnest(ps) AS part, generate_subscripts(ps, 1) AS pos FROM parts),
-    web AS (
-      SELECT url AS path, string_agg(trim(split_part(part, chr(2), 2)), chr(10) ORDER BY pos) AS body
-      FROM cut WHERE contains(part, chr(2)) AND trim(split_part(part, chr(2), 2)) <> '' GROUP BY url),
+    {WEB_SQL},
+    web AS (SELECT url AS path, string_agg(body, chr(10) ORDER BY pos) AS body FROM web_elements WHERE body <> '' GROUP BY url),
     talk_lines AS (
       SELECT path, unnest(string_split(transcript, chr(10))) AS line,
              generate_subscripts(string_split(transcript, chr(10)), 1) - 1 AS pos FROM talks),

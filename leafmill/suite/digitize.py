@@ -17,6 +17,7 @@ from leafmill.suite.common import (
     GENERIC_RULES,
     LINES_SQL,
     PAGES_SQL,
+    WEB_SQL,
     files,
     generic_gate,
     register,
@@ -52,19 +53,7 @@ def lines(spark, sf_dir):
 
 @register(
     "html_elements_s7b",
-    r"""WITH shown AS (
-      SELECT url, regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<head>.*?</head>', '', 'g') AS h
-      FROM pages),
-    marked AS (
-      SELECT url, string_split(regexp_replace(regexp_replace(
-        regexp_replace(h, '<(h1|p|li)(?:\s[^>]*)?>', chr(1) || '\1' || chr(2), 'g'),
-        '</?(?:h1|p|li|ul|div|nav|article|footer|body|html)(?:\s[^>]*)?>', chr(1), 'g'),
-        '<[^>]*>', '', 'g'), chr(1)) AS parts
-      FROM shown),
-    cut AS (SELECT url, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS pos FROM marked)
-    SELECT sha256(url) AS doc_id, CAST(pos AS INTEGER) AS pos, split_part(part, chr(2), 1) AS element_type,
-           trim(split_part(part, chr(2), 2)) AS element_text
-    FROM cut WHERE contains(part, chr(2)) AND trim(split_part(part, chr(2), 2)) <> ''""",
+    f"WITH {WEB_SQL} SELECT sha256(url) AS doc_id, pos, kind AS element_type, body AS element_text FROM web_elements WHERE body <> ''",
 )
 def html(spark, sf_dir):
     return html_elements(web_files(spark, sf_dir)).select("doc_id", "pos", "element_type", "element_text")

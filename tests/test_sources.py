@@ -105,15 +105,25 @@ def test_page_text_does_not_depend_on_row_order(spark, rows):
 
 def test_html_blocks(spark, rows):
     page = (
-        "<head><p>no</p></head><body><script>var a='</p><p>no'</script><!-- <p>no --><h1 class='x'>Top</h1>"
-        "<p>one <b>bold</b><p>two <ul><li>x &amp; y</ul><pre>no</pre><p> </p></body>"
+        "<HEAD lang='x'><p>no</p></head><body>before<script>var a='</p><p>no'</script><!-- <p>no --><h1 class='x'>Top</h1>"
+        "<header>line</header><p>one <b>bold</b><p>two\n <ul><li>x &amp;lt; y</ul>after 1 < 2<H2>Sub</H2><table><tr><td>cell<td>two</table>"
+        "<div>in <a href='#'>link</a><br>next</div><p> </p></body>"
     )
-    files = identify(spark.createDataFrame([("u", page), ("v", None)], "path string, html string"))
-    assert rows(html_elements(files), "element_type", "element_text") == [
+    files = identify(spark.createDataFrame([("u", page), ("v", None), ("w", "")], "path string, html string"))
+    made = html_elements(files).orderBy("pos").collect()
+    assert [(r.element_type, r.element_text) for r in made] == [
+        ("body", "before"),
         ("h1", "Top"),
-        ("li", "x &amp; y"),
+        ("header", "line"),
         ("p", "one bold"),
         ("p", "two"),
+        ("li", "x &lt; y"),
+        ("text", "after 1 < 2"),
+        ("h2", "Sub"),
+        ("td", "cell"),
+        ("td", "two"),
+        ("div", "in link"),
+        ("br", "next"),
     ]
 
 
