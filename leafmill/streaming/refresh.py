@@ -8,15 +8,18 @@ every few runs a full version is written anew.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leafmill.operators.chunks import document_chunks
 from leafmill.operators.consolidate import attach_fields_inline
 from leafmill.operators.fields import SUBSTATION_RULES, extract_fields, substation_gate
 from leafmill.operators.pages import assemble_pages, canonical_copies
+from leafmill.session import stage
 
 # Fields that the document table carries on from extraction.
 DOCUMENT_FIELDS = ("substation_name", "voltage_class_kv", "equipment_ids", "study_date", "approving_engineer")
@@ -59,13 +62,16 @@ def full_corpus(pages: DataFrame) -> Corpus:
     return Corpus(pages, documents, document_chunks(documents))
 
 
-def corpus_changes(before: Corpus, arrived: DataFrame) -> dict[str, Change]:
+def corpus_changes(before: Corpus, arrived: DataFrame, documents: DataFrame | None = None) -> dict[str, Change]:
     """What the pages of new or changed documents change in each table.
 
+    ``documents`` names (doc_id) all documents that arrived; one without pages is empty
+    or removed, and what was there of it goes. By default those that have pages.
+
     A page's fate depends only on pages with its content hash. So only hashes that
     the arriving documents have, or had, are decided again.
     """
-    documents = arrived.select("doc_id").distinct()
+    documents = (arrived if documents is None else documents).select("doc_id").distinct()
     had = before.pages.join(documents, "doc_id", "left_semi").select("content_hash")
     touched = had.unionByName(arrived.select("content_hash")).distinct()
     pages = Change(documents, arrived)
@@ -78,9 +84,9 @@ def corpus_changes(before: Corpus, arrived: DataFrame) -> dict[str, Change]:
     }
 
 
-def refresh_corpus(before: Corpus, arrived: DataFrame) -> Corpus:
-    """The corpus after the pages of new or changed documents arrived."""
-    changes = corpus_changes(before, arrived)
+def refresh_corpus(before: Corpus, arrived: DataFrame, documents: DataFrame | None = None) -> Corpus:
+    """The corpus after the pages of new, changed, emptied or removed documents arrived."""
+    changes = corpus_changes(before, arrived, documents)
     return Corpus(*[changes[name].apply(getattr(before, name)) for name in TABLES])
 
 
@@ -100,15 +106,29 @@ def _is_full(version: int) -> bool:
 
 
 def read_corpus(spark: SparkSession, root: str, version: int) -> Corpus:
-    """A version: the last full one, and the changes since."""
+    """A version: the last full one, and the changes since, applied in one step.
+
+    A row stands if no later version takes its key away, so one join with the last
+    version that touched each key does for all of them.
+    """
     base = version - (version - 1) % FULL_EVERY
-    tables = {name: spark.read.parquet(f"{root}/v{base}/full/{name}") for name in TABLES}
-    for later in range(base + 1, version + 1):
-        for name in TABLES:
-            part = f"{root}/v{later}/{{}}/{name}"
-            change = Change(spark.read.parquet(part.format("gone")), spark.read.parquet(part.format("come")))
-            tables[name] = change.apply(tables[name])
-    return Corpus(*[tables[name] for name in TABLES])
+    later = range(base + 1, version + 1)
+
+    def part(kind: str, name: str, at: int) -> DataFrame:
+        return spark.read.parquet(f"{root}/v{at}/{kind}/{name}").withColumn("_version", F.lit(at))
+
+    def read(name: str) -> DataFrame:
+        full = part("full", name, base)
+        if not later:
+            return full.drop("_version")
+        gone = reduce(DataFrame.unionByName, [part("gone", name, at) for at in later])
+        keys = [c for c in gone.columns if c != "_version"]
+        last = gone.groupBy(*keys).agg(F.max("_version").alias("_last"))
+        rows = reduce(DataFrame.unionByName, [full, *[part("come", name, at) for at in later]])
+        stands = F.col("_last").isNull() | (F.col("_version") >= F.col("_last"))
+        return rows.join(last, keys, "left").where(stands).select(*[c for c in full.columns if c != "_version"])
+
+    return Corpus(*[read(name) for name in TABLES])
 
 
 def _versions(spark: SparkSession, root: str) -> Sequence[int]:
@@ -125,30 +145,51 @@ def current_corpus(spark: SparkSession, root: str) -> Corpus | None:
     return read_corpus(spark, root, done[-1]) if done else None
 
 
-def refresh_from_stream(elements: DataFrame, root: str, checkpoint: str) -> None:
-    """Element rows of a stream into a versioned corpus below ``root``, then stop.
+def _check_owner(spark: SparkSession, root: str, checkpoint: str, batch_id: int) -> None:
+    """A corpus grows from one checkpoint only: with another, batch numbers would start
+    again and mix new versions with old ones."""
+    done = _versions(spark, root)
+    if not done:
+        return
+    owner = spark.read.parquet(f"{root}/done/{done[-1]}").first()["checkpoint"]
+    if owner != checkpoint or done[-1] not in (batch_id, batch_id + 1):
+        raise ValueError(f"{root} has version {done[-1]} from checkpoint {owner}, not from batch {batch_id} of {checkpoint}")
+
+
+def refresh_from_stream(
+    arriving: DataFrame, root: str, checkpoint: str, elements: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Rows of a stream into a versioned corpus below ``root``, then stop.
+
+    The rows are element rows, or, with a function ``elements`` that makes these, files
+    (doc_id and what the function reads). Only the second form sees that a document is
+    now empty: a file without elements takes the document away.
 
     Micro-batch n turns version n into version n + 1 and then marks it done. A batch
     that is repeated after a failure starts from version n again, so nothing is
-    applied twice. A document's elements must arrive in one batch, which holds when
-    elements are made from its file in the same stream.
+    applied twice; a root that another checkpoint has written is refused. The pages of
+    a batch are staged once for all tables. A document's elements must arrive in one
+    batch, which holds when elements are made from its file in the same stream.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark, version = batch.sparkSession, batch_id + 1
-        arrived = assemble_pages(batch)
+        _check_owner(spark, root, checkpoint, batch_id)
+        arrived = stage(assemble_pages(elements(batch) if elements else batch), "arrived-pages")
+        documents = stage(batch.select("doc_id").distinct(), "arrived-documents")
         if batch_id == 0:
             _write_full(full_corpus(arrived), root, version)
         else:
             before = read_corpus(spark, root, batch_id)
             if _is_full(version):
-                _write_full(refresh_corpus(before, arrived), root, version)
+                _write_full(refresh_corpus(before, arrived, documents), root, version)
             else:
-                _write_changes(corpus_changes(before, arrived), root, version)
-        spark.range(1).write.mode("overwrite").parquet(f"{root}/done/{version}")
+                _write_changes(corpus_changes(before, arrived, documents), root, version)
+        marker = spark.range(1).select(F.lit(checkpoint).alias("checkpoint"))
+        marker.write.mode("overwrite").parquet(f"{root}/done/{version}")
 
     query = (
-        elements.writeStream.foreachBatch(step)
+        arriving.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -9,6 +9,7 @@ from types import SimpleNamespace
 import pandas as pd
 import pytest
 from pyspark import cloudpickle
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from leafmill.operators.evaluate import contains_any, diff_runs, eval_set, kind_counts, latest_run, score_run, summarise_runs
@@ -150,6 +151,30 @@ def test_refresh_equals_a_full_run(spark, rows, second):
         assert rows(getattr(got, name), *frame.columns) == rows(frame)
 
 
+def test_emptied_documents_go(spark, rows):
+    arrived = spark.createDataFrame([("/a", ""), ("/d", None), ("/new", "here")], "path string, text string")
+    files = identify(arrived)
+    got = refresh_corpus(full_corpus(pages_of(spark, FIRST)), assemble_pages(line_elements(files)), files)
+    want = full_corpus(pages_of(spark, [("/c", "own\ntext"), ("/e", "once\nshared"), ("/new", "here")]))
+    for name in ("pages", "documents", "chunks"):
+        frame = getattr(want, name)
+        assert rows(getattr(got, name), *frame.columns) == rows(frame)
+
+
+def test_emptied_documents_go_from_a_stream(spark, tmp_path, rows):
+    landing, root, progress = str(tmp_path / "in"), str(tmp_path / "corpus"), str(tmp_path / "progress")
+    for texts in ([("/a", "one"), ("/b", "two")], [("/a", ""), ("/c", "three")]):
+        frame = spark.createDataFrame(texts, "path string, text string")
+        frame.coalesce(1).write.mode("append").parquet(landing)
+        stream = identify(spark.readStream.schema(frame.schema).parquet(landing))
+        refresh_from_stream(stream, root, progress, line_elements)
+    assert rows(current_corpus(spark, root).chunks, "chunk_text") == [("three",), ("two",)]
+    again = identify(spark.readStream.schema(frame.schema).parquet(landing))
+    with pytest.raises(StreamingQueryException, match="from checkpoint"):
+        refresh_from_stream(again, root, str(tmp_path / "other"), line_elements)
+    assert rows(current_corpus(spark, root).chunks, "chunk_text") == [("three",), ("two",)]
+
+
 def test_streamed_refresh(spark, tmp_path, rows, monkeypatch):
     monkeypatch.setattr(refresh, "FULL_EVERY", 3)
     landing, root, progress = tmp_path / "in", str(tmp_path / "corpus"), str(tmp_path / "progress")
