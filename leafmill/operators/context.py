@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.columns import file_name, snippet
 from leafmill.functions.text import counted
+from leafmill.operators.order import with_positions
 from leafmill.operators.topk import DEFAULT_K, ranked
 
 # The layout of a context block and the text for no hits.
@@ -15,8 +16,6 @@ NO_RESULTS = "(no relevant results)"
 CITATION_TAG = r"\[doc:([^\]]+)\]"
 CHAT_ROLES = ("user", "assistant")
 
-MESSAGES_PER_PART = 1000
-
 
 def chat_messages(messages: DataFrame, role: str = "role") -> DataFrame:
     """Only user and assistant messages."""
@@ -85,20 +84,22 @@ def message_rows(
     return first.unionByName(history).unionByName(last)
 
 
-def message_lists(rows: DataFrame, per_part: int = MESSAGES_PER_PART) -> DataFrame:
+def message_lists(rows: DataFrame, per_part: int) -> DataFrame:
     """conv_id, part, messages array<struct<role,content>>, in order.
 
-    Histories beyond ``per_part`` turns continue in further parts, so no group grows
-    beyond that; the context ends the last part. Nothing is cut off.
+    A list holds ``per_part`` turns of the history, counted by position, between the
+    rules and the context; longer histories continue in further lists, each with rules
+    and context, so that each can be sent. No group grows beyond that and nothing is cut
+    off. The history is staged when this is called.
     """
-    part = (
-        F.when(F.col("place") == 0, F.lit(0))
-        .when(F.col("place") == 1, F.floor(F.col("turn") / F.lit(per_part)).cast("int"))
-    )
-    tails = rows.where(F.col("place") == 1).groupBy("conv_id").agg(F.max(part).alias("tail"))
-    placed = rows.join(tails, "conv_id", "left").withColumn(
-        "part", F.coalesce(part, F.col("tail"), F.lit(0))
+    names = ["conv_id", "place", "turn", "role", "content", "part"]
+    history = with_positions(rows.where(F.col("place") == 1), ["conv_id"], ["turn", "role", "content"], "at")
+    parts = history.withColumn("part", F.floor(F.col("at") / F.lit(per_part)).cast("int"))
+    tails = parts.groupBy("conv_id").agg(F.max("part").alias("tail"))
+    around = rows.where(F.col("place") != 1).join(tails, "conv_id", "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.coalesce("tail", F.lit(0))))
     )
+    placed = parts.select(*names).unionByName(around.select(*names))
     ordered = F.array_sort(F.collect_list(F.struct("place", "turn", "role", "content")))
     return placed.groupBy("conv_id", "part").agg(
         F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions.columns import path_id
+from leafmill.operators.order import with_positions
 
 TURNS_PER_PART = 1000
 
@@ -19,19 +20,22 @@ def assemble_transcripts(
     turns_per_part: int = TURNS_PER_PART,
     prefix: str = "/transcripts/",
 ) -> DataFrame:
-    """One row per conversation and part, turns in order, one line per turn.
+    """Conversations as files {prefix}{conversation}/{part}, turns in order, one line
+    per turn.
 
-    Conversations of up to ``turns_per_part`` turns have the single part 1. A longer
-    one continues in further parts, so no group grows beyond that bound however
-    many turns a conversation has, and no turn is lost. A turn delivered twice counts
-    once.
+    Every conversation is cut into parts of ``turns_per_part`` turns, counted by position
+    and not by turn number; each part is a file with an id of its own. So no group grows
+    beyond that bound and no turn is lost. A turn delivered twice counts once. The turns
+    are staged when this is called.
     """
     line = F.concat_ws(": ", F.col(role), F.coalesce(F.col(text), F.lit("")))
-    part = (F.floor(F.col(turn) / F.lit(turns_per_part)) + 1).cast("int")
-    ordered = F.sort_array(F.collect_set(F.struct(F.col(turn).alias("at"), line.alias("line"))))
-    path = F.concat(F.lit(prefix), F.col(conversation).cast("string"))
+    lines = turns.select(F.col(conversation).alias("of"), F.col(turn).alias("at"), line.alias("line")).distinct()
+    placed = with_positions(lines, ["of"], ["at", "line"], "place")
+    part = (F.floor(F.col("place") / F.lit(turns_per_part)) + 1).cast("int")
+    ordered = F.array_sort(F.collect_list(F.struct("place", "line")))
+    path = F.concat(F.lit(prefix), F.col("of").cast("string"), F.lit("/"), F.col("part").cast("string"))
     return (
-        turns.groupBy(F.col(conversation), part.alias("part"))
+        placed.groupBy("of", part.alias("part"))
         .agg(F.array_join(F.transform(ordered, lambda t: t["line"]), "\n").alias("transcript"))
         .select(path_id(path).alias("debrief_id"), path.alias("source_path"), "part", "transcript")
     )

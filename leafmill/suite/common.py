@@ -211,6 +211,9 @@ hits AS (
 )
 
 TURNS_SQL = """talks AS (
-  SELECT sha256('/transcripts/' || conv_id) AS debrief_id, '/transcripts/' || conv_id AS path, conv_id,
-         string_agg(role || ': ' || coalesce(text, ''), chr(10) ORDER BY turn) AS transcript
-  FROM conversations GROUP BY conv_id)"""
+  SELECT sha256('/transcripts/' || conv_id || '/' || part) AS debrief_id,
+         '/transcripts/' || conv_id || '/' || part AS path, conv_id, part,
+         string_agg(line, chr(10) ORDER BY turn, line) AS transcript
+  FROM (SELECT *, CAST((row_number() OVER (PARTITION BY conv_id ORDER BY turn, line) - 1) // 1000 + 1 AS INTEGER) AS part
+        FROM (SELECT DISTINCT conv_id, turn, role || ': ' || coalesce(text, '') AS line FROM conversations))
+  GROUP BY conv_id, part)"""

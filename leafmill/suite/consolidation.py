@@ -8,13 +8,13 @@ from leafmill.operators.chunks import apply_changes, chunk_text, diff_chunks, un
 from leafmill.operators.consolidate import attach_fields, attach_fields_inline, attach_region, merge_sources
 from leafmill.operators.debriefs import debrief_chunks, parse_header, structure, with_prompt
 from leafmill.operators.evaluate import kind_counts
-from leafmill.operators.fields import extract_fields, split_gate
+from leafmill.operators.fields import FieldRule, extract_fields, split_gate
 from leafmill.operators.keyword import build_index, refresh_index
 from leafmill.operators.pages import assemble_pages, canonical_copies, line_pages
 from leafmill.operators.security import mask, register_functions, row_filter
 from leafmill.operators.vectors import text_vectors, vector_changes
 from leafmill.plans.adapters import documents_as_files, transcripts_as_files
-from leafmill.plans.corpus import canonical_pages, corpus_chunks, page_chunks
+from leafmill.plans.corpus import canonical_pages, corpus_chunks, fielded_chunks, page_chunks
 from leafmill.session import stage
 from leafmill.sources.elements import html_elements
 from leafmill.sources.files import spread
@@ -22,6 +22,7 @@ from leafmill.sources.transcripts import assemble_transcripts
 from leafmill.suite.common import (
     CANON_SQL,
     CHUNKS_SQL,
+    CODE_PATTERN,
     GENERIC_RULES,
     PAGES_SQL,
     TERMS_SQL,
@@ -36,7 +37,7 @@ from leafmill.suite.common import (
     table,
     web_files,
 )
-from leafmill.suite.digitize import FIELDS_SQL, gated_fields
+from leafmill.suite.digitize import FIELDS_SQL, as_text, gated_fields
 
 CANON_OUT = "did AS doc_id, path, kind AS source_kind, page AS page_number, sha256(body) AS content_hash"
 
@@ -142,6 +143,38 @@ def chunks_without_tail(spark, sf_dir):
     )
 
 
+CODED_RULES = (
+    FieldRule("substation_name", (r"(?i)licensed under (?:the )?([^\n]*[^\n.])",)),
+    FieldRule("voltage_class_kv", (r"(?i)\bversion (\d+(?:\.\d+)?)",), "double"),
+    FieldRule("equipment_ids", (CODE_PATTERN,), "list"),
+    FieldRule("address", (r"\b(\d{1,3}(?:\.\d{1,3}){3})\b",)),
+)
+
+
+def coded_gate():
+    return [("no code or address", F.col("address").isNull() & (F.size("equipment_ids") == 0))]
+
+
+@register(
+    "fielded_chunks_j1_f3_p6",
+    rf"""WITH {CHUNKS_SQL}, read AS (
+      SELECT did, page, nullif(regexp_extract(body, '(?i)licensed under (?:the )?([^\n]*[^\n.])', 1), '') AS license,
+             TRY_CAST(regexp_extract(body, '(?i)\bversion (\d+(?:\.\d+)?)', 1) AS DOUBLE) AS version,
+             list_sort(list_distinct(regexp_extract_all(body, '{CODE_PATTERN}', 1))) AS codes,
+             nullif(regexp_extract(body, '\b(\d{{1,3}}(?:\.\d{{1,3}}){{3}})\b', 1), '') IS NULL AND
+             len(regexp_extract_all(body, '{CODE_PATTERN}', 1)) = 0 AS held
+      FROM canon)
+    SELECT chunk_id, CASE WHEN NOT held THEN license END AS substation_name,
+           CASE WHEN NOT held THEN version END AS voltage_class_kv,
+           CASE WHEN NOT held THEN codes::VARCHAR END AS equipment_ids
+    FROM chunk_rows JOIN read USING (did, page)""",
+)
+def chunks_with_fields(spark, sf_dir):
+    """Files to chunks with their page's fields, in one pass over the text."""
+    made = fielded_chunks(files(spark, sf_dir), CODED_RULES, coded_gate(), [r.name for r in CODED_RULES])
+    return made.select("chunk_id", "substation_name", "voltage_class_kv", as_text("equipment_ids").alias("equipment_ids"))
+
+
 @register(
     "chunk_profile",
     f"""WITH {CHUNKS_SQL} SELECT source, count(*) AS n_chunks, count(DISTINCT did) AS n_documents,
@@ -168,7 +201,7 @@ def chunk_profile(spark, sf_dir):
 
 @register(
     "transcripts_s8",
-    f"WITH {TURNS_SQL} SELECT debrief_id, path AS source_path, 1 AS part, transcript FROM talks",
+    f"WITH {TURNS_SQL} SELECT debrief_id, path AS source_path, part, transcript FROM talks",
 )
 def transcripts(spark, sf_dir):
     return assemble_transcripts(table(spark, sf_dir, "conversations"))
@@ -176,14 +209,32 @@ def transcripts(spark, sf_dir):
 
 @register(
     "debrief_chunks_g3",
-    f"""WITH {TURNS_SQL} SELECT 'debrief_' || debrief_id AS chunk_id, debrief_id AS doc_id, path AS source_path,
-    'debrief' AS source_kind, 1 AS page_number, 0 AS chunk_index, transcript AS chunk_text,
+    f"""WITH {TURNS_SQL} SELECT 'debrief_' || debrief_id || CASE WHEN part > 1 THEN '_' || part ELSE '' END AS chunk_id,
+    debrief_id AS doc_id, path AS source_path, 'debrief' AS source_kind, part AS page_number, 0 AS chunk_index, transcript AS chunk_text,
     CAST(NULL AS VARCHAR) AS substation_name, CAST(NULL AS DOUBLE) AS voltage_class_kv FROM talks""",
 )
 def debriefs(spark, sf_dir):
     return debrief_chunks(transcripts(spark, sf_dir)).drop("equipment_ids")
 
 
+@register(
+    "long_transcript_s8_g3",
+    """WITH lines AS (
+      SELECT role || ': ' || coalesce(text, '') AS line, conv_id * 100000 + turn AS pos FROM conversations),
+    parts AS (SELECT *, (row_number() OVER (ORDER BY pos, line) - 1) // 1000 + 1 AS part FROM (SELECT DISTINCT * FROM lines))
+    SELECT 'debrief_' || sha256('/transcripts/0/' || part) || CASE WHEN part > 1 THEN '_' || part ELSE '' END AS chunk_id,
+      CAST(part AS INTEGER) AS page_number, sha256(string_agg(line, chr(10) ORDER BY pos, line)) AS text_hash
+    FROM parts GROUP BY part""",
+)
+def long_transcript(spark, sf_dir):
+    """All turns of all conversations as one, with gaps between the turn numbers."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.lit(0).alias("conv_id"), (F.col("conv_id") * 100000 + F.col("turn")).alias("turn"), "role", "text"
+    )
+    made = debrief_chunks(assemble_transcripts(turns))
+    return made.select("chunk_id", "page_number", F.sha2("chunk_text", 256).alias("text_hash"))
+
+
 @register(
     "chunk_union_o1_a5",
     f"""WITH {CHUNKS_SQL}, {TURNS_SQL},

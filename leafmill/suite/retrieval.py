@@ -259,15 +259,35 @@ def messages(spark, sf_dir):
 
 @register(
     "message_lists_c3",
-    f"""WITH {MESSAGE_SQL}, tails AS (SELECT conv_id, max(turn // 4) AS tail FROM msgs WHERE place = 1 GROUP BY 1)
-    SELECT conv_id, CAST(CASE place WHEN 0 THEN 0 WHEN 1 THEN turn // 4 ELSE coalesce(tail, 0) END AS INTEGER) AS part,
-      string_agg(role || ': ' || content, chr(10) ORDER BY place, turn) AS listed
-    FROM msgs LEFT JOIN tails USING (conv_id) GROUP BY ALL""",
+    f"""WITH {MESSAGE_SQL}, history AS (
+      SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, content) - 1) // 4 AS part FROM msgs WHERE place = 1),
+    tails AS (SELECT conv_id, max(part) AS tail FROM history GROUP BY 1),
+    placed AS (
+      SELECT * FROM history
+      UNION ALL SELECT msgs.*, unnest(range(coalesce(tail, 0) + 1)) FROM msgs LEFT JOIN tails USING (conv_id) WHERE place <> 1)
+    SELECT conv_id, CAST(part AS INTEGER) AS part,
+      string_agg(role || ': ' || content, chr(10) ORDER BY place, turn, role, content) AS listed
+    FROM placed GROUP BY conv_id, part""",
 )
 def message_parts(spark, sf_dir):
-    """Message arrays in parts of four turns, written out as text."""
+    """Message arrays of four turns each, written out as text."""
+    return listed(spark, sf_dir, 4)
+
+
+@register(
+    "message_lists_whole_c3",
+    f"""WITH {MESSAGE_SQL}
+    SELECT conv_id, 0 AS part, string_agg(role || ': ' || content, chr(10) ORDER BY place, turn, role, content) AS listed
+    FROM msgs GROUP BY conv_id""",
+)
+def whole_messages(spark, sf_dir):
+    """One list per conversation: no conversation has a million turns."""
+    return listed(spark, sf_dir, 1_000_000)
+
+
+def listed(spark, sf_dir, per_part):
     line = lambda m: F.concat(m["role"], F.lit(": "), m["content"])
-    made = message_lists(model_input(spark, sf_dir), per_part=4)
+    made = message_lists(model_input(spark, sf_dir), per_part)
     return made.select("conv_id", "part", F.array_join(F.transform("messages", line), "\n").alias("listed"))
 
 

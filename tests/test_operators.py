@@ -24,6 +24,7 @@ from leafmill.operators.fields import (
     substation_gate,
     typed_fields,
 )
+from leafmill.operators.order import with_positions
 from leafmill.operators.pages import canonical_copies
 from leafmill.operators.security import mask, row_filter
 from leafmill.schemas import CHUNK, struct_of
@@ -194,6 +195,16 @@ def test_chunk_union_by_name(spark, rows):
     assert rows(both, "chunk_id", "page_number", "chunk_text") == [("d_1_0", 1, "text"), ("debrief_t", 1, "said"), ("debrief_t_2", 2, "more")]
 
 
+def test_positions_count_within_groups(spark):
+    data = [(None, 2), (None, 1), ("a", 5), ("a", None), ("a", 5)] + [("hot", 7 * i) for i in range(400)]
+    frame = spark.createDataFrame(data, "k string, v int").repartition(5)
+    got = with_positions(frame, ["k"], ["v"], "place").collect()
+    assert sorted((r["v"], r["place"]) for r in got if r["k"] is None) == [(1, 0), (2, 1)]
+    assert sorted((r["place"], r["v"]) for r in got if r["k"] == "a") == [(0, None), (1, 5), (2, 5)]
+    assert all(r["v"] == 7 * r["place"] for r in got if r["k"] == "hot") and len(got) == len(data)
+    assert with_positions(frame.limit(0), ["k"], ["v"], "place").collect() == []
+
+
 CHUNK_ROW = "chunk_id string, chunk_text string"
 
 

@@ -231,8 +231,8 @@ def test_messages(spark, rows):
     assert [(r["role"], r["content"]) for r in one] == [("system", "rules"), ("user", "q"), ("assistant", "a"), ("system", "lead\n\nctx")]
     parts = {(r["conv_id"], r["part"]): [m["content"] for m in r["messages"]] for r in message_lists(made, per_part=2).collect()}
     assert parts == {
-        (1, 0): ["rules", "q"], (1, 1): ["a", "lead\n\nctx"], (2, 0): ["rules", "lead\n\nnone"],
-        (3, 0): ["rules", "x", "y"], (3, 1): ["z", "lead\n\nc"],
+        (1, 0): ["rules", "q", "a", "lead\n\nctx"], (2, 0): ["rules", "lead\n\nnone"],
+        (3, 0): ["rules", "x", "y", "lead\n\nc"], (3, 1): ["rules", "z", "lead\n\nc"],
     }
 
 

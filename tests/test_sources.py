@@ -170,12 +170,12 @@ def test_display_helpers(spark):
 
 
 def test_transcripts_continue_in_parts(spark, rows):
-    turns = [(7, t, "user", f"t{t}") for t in range(5)] + [(8, 0, "user", None)]
+    turns = [(7, t * 100_000, "user", f"t{t}") for t in range(5)] + [(7, 0, "user", "t0"), (8, 0, "user", None)]
     frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(3)
     made = assemble_transcripts(frame, turns_per_part=2)
     assert rows(made, "source_path", "part", "transcript") == [
-        ("/transcripts/7", 1, "user: t0\nuser: t1"),
-        ("/transcripts/7", 2, "user: t2\nuser: t3"),
-        ("/transcripts/7", 3, "user: t4"),
-        ("/transcripts/8", 1, "user: "),
+        ("/transcripts/7/1", 1, "user: t0\nuser: t1"),
+        ("/transcripts/7/2", 2, "user: t2\nuser: t3"),
+        ("/transcripts/7/3", 3, "user: t4"),
+        ("/transcripts/8/1", 1, "user: "),
     ]
