@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from leafmill.functions.columns import file_name, snippet
 from leafmill.functions.text import counted
+from leafmill.operators.hybrid import with_chunks
 from leafmill.operators.order import with_positions
 from leafmill.operators.topk import DEFAULT_K, ranked
+from leafmill.session import stage
 
 # The layout of a context block and the text for no hits.
 BLOCK_SEPARATOR = "\n\n---\n\n"
@@ -146,3 +148,16 @@ def asset_hits(chunks: DataFrame, assets: DataFrame, codes: Column, k: int = DEF
     per_code = found.withColumn("query_id", F.to_json(F.struct(*key)) if place else F.col("code"))
     best = ranked(per_code.select("query_id", *key, "chunk_id", "score"), k)
     return assets.join(best, key).select("asset_id", *key, "chunk_id", "score", "rank")
+
+
+def asset_contexts(chunks: DataFrame, assets: DataFrame, codes: Column, k: int = DEFAULT_K, place: str | None = None) -> DataFrame:
+    """Every asset with ``context`` and ``citations`` of its best chunks (``asset_hits``).
+
+    An asset that no chunk mentions stays; its context says so and its citations are
+    NULL. The hits are staged when this is called.
+    """
+    best = asset_hits(chunks, assets, codes, k, place).withColumnRenamed("asset_id", "query_id")
+    hits = stage(with_chunks(best, chunks), "asset-hits")
+    queries = assets.select(F.col("asset_id").alias("query_id")).distinct()
+    made = contexts(queries, hits).join(citations(hits), "query_id", "left")
+    return assets.join(made.withColumnRenamed("query_id", "asset_id"), "asset_id", "left")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from leafmill.functions.columns import citation_title, display_path, display_score, file_name
 from leafmill.operators.context import (
+    asset_contexts,
     asset_hits,
     asset_prompt,
     chat_messages,
@@ -27,7 +30,8 @@ from leafmill.operators.vectors import (
     vector_top_k_within,
 )
 from leafmill.plans.answers import answer_hits, build_search_index, hybrid_top_k
-from leafmill.session import stage
+from leafmill.session import stage, staging_path
+from leafmill.sinks.tables import ensure_schemas, overwrite_table
 from leafmill.suite.common import (
     CHUNKS_SQL,
     CODE_PATTERN,
@@ -320,3 +324,31 @@ def asset_context(spark, sf_dir):
     best = asset_hits(chunks(spark, sf_dir), assets, named)
     prompt = asset_prompt(F.col("code"), F.lit("the plant"), "What is known about asset %s at %s?")
     return best.withColumn("prompt", prompt)
+
+
+@register(
+    "asset_table_j4",
+    f"""WITH {ASSET_SQL},
+    listed AS (SELECT 'asset ' || code AS asset_id, code FROM assets UNION ALL SELECT 'part ' || p_partkey, 'P' || p_partkey FROM part),
+    best AS (SELECT p.code, p.pos, c.* FROM placed p JOIN chunk_rows c USING (chunk_id) WHERE pos <= 6)
+    SELECT asset_id, code, count(chunk_id) AS n_citations, coalesce(string_agg(
+      '[doc:' || chunk_id || ']  source=' || split_part(path, '/', -1) || '  kind=' || kind || '  page=' || page
+      || chr(10) || body, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY pos), '(no relevant results)') AS context
+    FROM listed LEFT JOIN best USING (code) GROUP BY asset_id, code""",
+)
+def asset_table(spark, sf_dir):
+    """The written context table of all assets: codes of the documents, and parts that no document names."""
+    found = F.regexp_extract_all("text", F.lit(CODE_PATTERN), F.lit(1))
+    coded = files(spark, sf_dir).select(F.explode(found).alias("code")).distinct()
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("key"))
+    assets = coded.select(F.concat(F.lit("asset "), "code").alias("asset_id"), "code").unionByName(
+        parts.select(F.concat(F.lit("part "), "key").alias("asset_id"), F.concat(F.lit("P"), "key").alias("code"))
+    )
+    named = F.regexp_extract_all("chunk_text", F.lit(CODE_PATTERN), F.lit(1))
+    schema = f"assets_{uuid.uuid4().hex}"
+    ensure_schemas(spark, [schema], staging_path(spark, "tables"))
+    overwrite_table(asset_contexts(chunks(spark, sf_dir), assets, named), f"{schema}.contexts")
+    cited_chunks = F.coalesce(F.size("citations"), F.lit(0))
+    return spark.table(f"{schema}.contexts").select(
+        "asset_id", "code", F.greatest(cited_chunks, F.lit(0)).cast("bigint").alias("n_citations"), "context"
+    )

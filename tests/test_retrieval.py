@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.operators.chunks import diff_chunks
 from leafmill.operators.context import (
+    asset_contexts,
     asset_hits,
     asset_prompt,
     citations,
@@ -248,6 +249,16 @@ def test_assets_are_keyed_by_code_and_place(spark, rows):
     assert "138L-1 at Oak" in spark.range(1).select(asset_prompt(F.lit("138L-1"), F.lit("Oak"), "%s at %s?")).first()[0]
 
 
+def test_every_asset_has_a_context(spark):
+    data = [("c1", "d", "/p/f.txt", "k", 2, "on 138L-1")]
+    chunks = spark.createDataFrame(data, "chunk_id string, doc_id string, source_path string, source_kind string, page_number int, chunk_text string")
+    assets = spark.createDataFrame([("A", "138L-1"), ("B", "9X"), ("N", None)], "asset_id string, code string")
+    made = asset_contexts(chunks, assets, F.regexp_extract_all("chunk_text", F.lit(r"(\d+[LB]-\d)"), F.lit(1)))
+    got = {r["asset_id"]: (r["context"], r["citations"] and [c["chunk_id"] for c in r["citations"]]) for r in made.collect()}
+    none = ("(no relevant results)", None)
+    assert got == {"A": ("[doc:c1]  source=f.txt  kind=k  page=2\non 138L-1", ["c1"]), "B": none, "N": none}
+
+
 def test_hybrid_answers_find_the_passage(spark):
     data = [(f"c{i}", "d", "/p/f.txt", "k", 1, f"word{i} common text about topic{i % 7}") for i in range(60)]
     index = build_search_index(spark.createDataFrame(data, CHUNK))
