@@ -9,7 +9,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafmill.session import stage
 
 SLICE_BYTES = 1 << 20
 
@@ -24,6 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def numbered(docs: DataFrame, name: str, *order: Column) -> DataFrame:
+    """docs, staged, with a bigint ``name`` that no two rows share; it ascends along ``order``.
+
+    Rows equal in ``order`` follow a hash of all their columns but maps. Equal rows are
+    dealt by place, so they need not share a task.
+    """
+    if order:
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+        keys = dict(zip(("__tie", "__place"), (F.xxhash64(*plain), F.monotonically_increasing_id())))
+        ranged = docs.withColumns(keys).repartitionByRange(parts, *order, *keys)
+        docs = ranged.sortWithinPartitions(*order, *keys).drop(*keys)
+    # Ascends inside a partition and from one to the next, as the ranges do.
+    return stage(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column end to end, and its n + 1 offsets; null reads as empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")

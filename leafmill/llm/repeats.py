@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import PIECE, letters, mixed, packed, powers, slices, text_bytes, unpacked
+from leafmill.llm.common import PIECE, letters, mixed, numbered, packed, powers, slices, text_bytes, unpacked
 from leafmill.session import stage
 
 LENGTH = 200
@@ -259,8 +259,7 @@ def repeated_spans(
     """(doc, begin, end): byte ranges covered by repeated strings, not yet merged.
 
     keep_first: the first occurrence in order of (doc, place) stays; otherwise every
-    occurrence counts. doc is a bigint without nulls that names the row; rows with equal
-    doc count as copies of each other. Stages tables.
+    occurrence counts. doc is a bigint without nulls that no two rows share. Stages tables.
     """
     named = docs.select(doc.alias("doc"), text.alias("text"))
     all_blocks = anchored(named, length, gram)
@@ -308,7 +307,6 @@ def repeated_spans(
                     names=["anchor", "doc", "at", "bytes", "blocks"],
                 )
 
-    # Of rows with equal doc, one text serves: its blocks are named by doc and place.
     texts = packed(named, "text", "pack").join(asked, "doc").select("doc", "pack", "asked")
     contents = stage(
         texts.mapInArrow(fetch, "anchor bigint, doc bigint, at bigint, bytes binary, blocks bigint"), "repeats-contents"
@@ -331,14 +329,18 @@ def without_repeats(
 ) -> DataFrame:
     """docs with columns ``kept`` (binary), ``n_removed``, ``n_spans`` added, text gone.
 
-    The text column is replaced by its remaining bytes. A null text reads as empty; a
-    null id counts as an id of its own. Other columns stay as they are. Stages tables.
+    The text column is replaced by its remaining bytes. A null text reads as empty. Every
+    row counts by itself, with or without an id of its own: with keep_first rows follow
+    each other by id (null first), those of one id by a hash of the text. Other columns
+    stay as they are. Stages tables, one of them with the texts.
     """
-    doc = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63)))
-    spans = stage(repeated_spans(docs, doc, F.col(text), length, keep_first), "repeats-spans")
+    order = (F.col(doc_id).cast("bigint").asc_nulls_first(), F.xxhash64(text)) if keep_first else ()
+    columns = docs.columns
+    docs = numbered(docs, "__doc", *order)
+    spans = stage(repeated_spans(docs, F.col("__doc"), F.col(text), length, keep_first), "repeats-spans")
     listed = spans.groupBy("doc").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
-    rest = [name for name in docs.columns if name != text]
-    renamed = docs.select(doc.alias("__doc"), *(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(rest)), F.col(text).alias("__text"))
+    rest = [name for name in columns if name != text]
+    renamed = docs.select("__doc", *(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(rest)), F.col(text).alias("__text"))
     joined = packed(renamed, "__text", "__pack").join(listed.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
     fields = [(f"c{i}", docs.schema[n].dataType.simpleString()) for i, n in enumerate(rest)]
     schema = ", ".join(f"{n} {t}" for n, t in fields) + ", kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"

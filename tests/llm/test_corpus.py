@@ -173,6 +173,26 @@ def test_without_repeats(docs, nothing, monkeypatch, keep_first, sorted_blocks):
         assert {"lang", "source", "n_chars"} <= set(repeats.without_repeats(docs).columns)
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("sorted_blocks", [256, 1])
+def test_without_repeats_of_rows_without_an_id_of_their_own(spark, monkeypatch, keep_first, sorted_blocks):
+    """Every row is cut by its own bytes, whatever id it has."""
+    monkeypatch.setattr(repeats, "SORTED_BLOCKS", sorted_blocks)
+    clean, other = words_of(30, 200), words_of(31, 200)
+    rows = [
+        (None, clean), (None, words_of(32, 50) + PASSAGE), (None, PASSAGE + words_of(33, 90)), (None, other), (None, other), (None, None),
+        (5, words_of(34, 150)), (5, words_of(35, 70) + PASSAGE + words_of(36, 5)), (5, other), (5, BASE), (5, BASE), (6, EDITED),
+    ]
+    frame = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, k int")
+    hashes = {r.k: r.h for r in frame.selectExpr("k", "xxhash64(text) AS h").collect()}
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] or -1, hashes[k]))
+    expected = removed({i: rows[k][1] for i, k in enumerate(order)}, 200, keep_first)
+    got = repeats.without_repeats(frame, keep_first=keep_first).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == Counter(
+        (rows[k][0], *expected[i]) for i, k in enumerate(order)
+    )
+
+
 def test_token_counts(docs, nothing):
     from tokenizers import Tokenizer
 
