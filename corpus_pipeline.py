@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import encoded
-from leafmill.llm.common import table
+from leafmill.llm.common import numbered, table
 from leafmill.llm.leaks import leaks
 from leafmill.llm.minmax import near_duplicates
 from leafmill.llm.quality import THRESHOLD, fitted, scored
@@ -28,17 +28,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id.
+    """One row of each group of near duplicates, that with the smallest id; rows without an id come last.
 
-    Of rows that share an id, the one with the smallest text stays.
+    Rows are judged one by one: of rows that share an id, different texts all stay.
     """
-    judged = stage(near_duplicates(docs), "pipeline-near")
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    twice = stage(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "pipeline-twice")
-    kept = docs.select(*COLUMNS).join(stage(gone, "pipeline-gone"), "doc_id", "left_anti")
-    single = kept.join(twice, "doc_id", "left_anti")
-    first = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r"))
-    return single.select(*COLUMNS).union(first.select("doc_id", "r.*").select(*COLUMNS))
+    rows = numbered(docs.select(*COLUMNS), "row", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    judged = near_duplicates(rows, doc_id="row")
+    gone = stage(judged.where(~F.col("kept")).select(F.col("doc_id").alias("row")), "pipeline-gone")
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +60,15 @@ def clean_utf8(kept):
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a leaked benchmark item."""
-    found = stage(leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "pipeline-leaks")
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Rows without a leaked benchmark item, with or without an id."""
+    named = docs.select(*COLUMNS, row_key().alias("row"))
+    found = stage(leaks(named, table(spark, sf_dir, "benchmark"), doc_id="row").select(F.col("doc_id").alias("row")).distinct(), "pipeline-leaks")
+    return named.join(found, "row", "left_anti").select(*COLUMNS)
+
+
+def row_key():
+    """128 bits of id and text, never null; only rows equal in both share them, and their verdict."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,13 +126,19 @@ def with_sets(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str,
     )
 
     def sets(batches):
+        import xxhash
+
         kit = (letters(), *powers())
         for batch in batches:
+            # Rows that share an id may have other texts, which are not the node's.
             values = list(shingle_sets(batch.column(1), width, kit))
+            hashes = np.array([xxhash.xxh3_64_intdigest(v.tobytes()) for v in values], np.uint64).view(np.int64)
+            own = hashes == batch.column(0).to_numpy()
+            values = [v for v, mine in zip(values, own.tolist()) if mine]
             offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.uint64), *values]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "items"]
+                [pa.array(hashes[own]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "items"]
             )
 
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")

@@ -88,6 +88,17 @@ def test_near_duplicates(spark, docs, nothing):
     ]
 
 
+def test_near_duplicates_of_texts_that_share_an_id(spark):
+    """A link of one text of an id is not a link of the other."""
+    first = words_of(40, 120).split()
+    second = [f"other{k}" if k % 20 == 10 else w for k, w in enumerate(first)]
+    assert 0.5 < len(shingles(" ".join(first)) & shingles(" ".join(second))) / len(shingles(" ".join(first)) | shingles(" ".join(second))) < 0.75
+    near = lambda words: " ".join([*words[:-1], "changed"])
+    rows = [(5, " ".join(first)), (5, " ".join(second)), (2, near(first)), (3, near(second))]
+    got = minmax.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(2, 2, True), (3, 3, True), (5, 2, False), (5, 3, False)]
+
+
 def test_near_duplicates_chain_and_crowd(spark):
     """A chain joins through its links; members of one bucket that are not alike stay apart."""
     rng, rows, base = random.Random(5), [], words_of(8, 100).split()
@@ -386,6 +397,30 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert sorted(r.doc_id for r in final.collect()) == sorted({k for k, _ in rows} | {2002})
 
 
+def test_pipeline_stages_judge_rows_without_an_id_of_their_own(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    item, long = words_of(900, 25), [words_of(910 + k, 90) for k in range(9)]
+    pq.write_table(pa.table({"item_id": [1], "text": [item]}), tmp_path / "benchmark.parquet")
+    near = lambda text: text.replace(text.split()[50], "changed", 1)
+    rows = [
+        (1, long[0]), (1, long[1]), (1, long[1]), (2, near(long[1])), (3, long[2]), (None, near(long[2])),
+        (None, long[3]), (None, near(long[3])), (None, long[4]), (4, None), (4, ""), (None, None),
+    ]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    frame = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], schema)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, frame, str(tmp_path)).collect())
+    third = [t for k, t in got if k is None and t in (long[3], near(long[3]))]
+    assert len(third) == 1
+    assert got == Counter([(1, long[0]), (1, long[1]), (3, long[2]), (None, third[0]), (None, long[4]), (4, None), (4, ""), (None, None)])
+
+    leaked = [(7, f"{long[5]} {item}"), (7, long[5]), (None, f"{item} {long[6]}"), (None, long[7]), (None, None), (8, long[8])]
+    frame = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in leaked], schema)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, frame, str(tmp_path)).collect())
+    assert got == Counter([(7, long[5]), (None, long[7]), (None, None), (8, long[8])])
+
+
 def test_registered_queries():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
     assert len(corpus_pipeline.STAGES) == 5
