@@ -14,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.llm.common import maybe_among
+from leafmill.session import stage
+
 END = "\r\n\r\n"
 
 # Payloads of fewer bytes are never revisits.
@@ -28,9 +31,10 @@ LARGE_CAPTURES = 8
 DATE = "2024-01-01T00:00:00Z"
 
 
-def record_id(kind: str, page_id: Column) -> Column:
-    """A record id that depends on kind and page only, in the form of a UUID."""
-    digits = F.md5(F.concat(F.lit(kind + " "), F.coalesce(page_id.cast("string"), F.lit("none"))))
+def record_id(kind: str, page: Column) -> Column:
+    """A record id that depends on kind and page (page_id and place, see ``write_archives``), in the form of a UUID."""
+    named = F.concat_ws(" ", F.lit(kind), F.coalesce(page["page_id"].cast("string"), F.lit("none")), page["place"].cast("string"))
+    digits = F.md5(named)
     parts = [F.substring(digits, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -57,23 +61,36 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     LEAST_REVISIT bytes or more, that with the smallest page_id is a response, others are
     revisits and carry no payload. Rows that repeat the smallest page_id, and rows of
     which no equal one has a page_id, are responses. Line breaks in a url become spaces.
+
+    Every row has records of its own. Their ids follow from the page_id; where that is
+    null or repeats, also from the row's place in ``pages``, which must then be read from
+    files, so that places stay. Other columns are not read; an empty table writes no record.
+    Stages the repeated ids.
     """
-    rows = pages.select(
+    read = pages.select(
         F.col(page_id).cast("bigint").alias("page_id"),
         F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"[\r\n]+", " ").alias("url"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),
-    ).withColumns({"digest": F.sha2("html", 256), "bytes": F.octet_length("html")})
+        F.monotonically_increasing_id().alias("place"),
+    )
+    repeated = read.groupBy("page_id").agg(F.count("*").alias("rows")).where("rows > 1 OR page_id IS NULL").select("page_id")
+    told = maybe_among(read, "page_id", stage(repeated, "warc-repeated"), "repeats")
+    rows = told.withColumns({
+        "page": F.struct("page_id", F.when(F.col("repeats"), F.col("place")).alias("place")),
+        "digest": F.sha2("html", 256),
+        "bytes": F.octet_length("html"),
+    })
     first = (
         rows.where(F.col("bytes") >= LEAST_REVISIT)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("original"), F.count("*").alias("copies"))
+        .agg(F.min(F.when(F.col("page_id").isNotNull(), F.col("page"))).alias("original"), F.count("*").alias("copies"))
         .where("copies > 1 AND original IS NOT NULL")
         .select("digest", "original")
     )
     joined = rows.join(first, "digest", "left")
-    revisit = F.coalesce(F.col("original") != F.col("page_id"), F.col("original").isNotNull())
+    revisit = F.coalesce(F.col("original.page_id") != F.col("page_id"), F.col("original").isNotNull())
     kind = F.when(revisit, "revisit").otherwise("response")
-    own = record_id("capture", F.col("page_id"))
+    own = record_id("capture", F.col("page"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.col("bytes").cast("string"),
@@ -86,9 +103,9 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     asked = F.concat(F.lit("GET "), F.col("url"), F.lit(f" HTTP/1.1{END}"))
     about = F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     records = F.array(
-        record(F.lit("request"), record_id("request", F.col("page_id")), F.col("url"), [("WARC-Concurrent-To", own)], "application/http; msgtype=request", asked),
+        record(F.lit("request"), record_id("request", F.col("page")), F.col("url"), [("WARC-Concurrent-To", own)], "application/http; msgtype=request", asked),
         record(kind, own, F.col("url"), [("WARC-Payload-Digest", digest), ("WARC-Refers-To", refers), ("WARC-Profile", profile)], "application/http; msgtype=response", http),
-        record(F.lit("metadata"), record_id("metadata", F.col("page_id")), F.col("url"), [("WARC-Concurrent-To", own)], "application/warc-fields", about),
+        record(F.lit("metadata"), record_id("metadata", F.col("page")), F.col("url"), [("WARC-Concurrent-To", own)], "application/warc-fields", about),
     )
     for large, captures in ((False, CAPTURES), (True, LARGE_CAPTURES)):
         chosen = joined.where((F.col("bytes") >= LARGE_PAYLOAD) == F.lit(large))
@@ -185,7 +202,7 @@ def captures(records: DataFrame) -> DataFrame:
     records that are concurrent to it, in order of their ids.
 
     Records concurrent to no capture are left out. Captures whose ids repeat stay apart
-    and get the same concurrent records.
+    and get the same concurrent records. ``records`` is read three times: stage it first.
     """
     columns = F.struct("record_id", "url", "block")
 
@@ -200,21 +217,26 @@ def captures(records: DataFrame) -> DataFrame:
 def page_rows(assembled: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of assembled captures.
 
-    Size and page of a revisit's payload come from the response it refers to.
+    Size and page of a revisit's payload come from the response it refers to, if that has
+    the payload's digest.
     """
     number = F.regexp_extract(F.col("metadata")[0]["block"], r"^page-id: (-?\d+)", 1)
     rows = assembled.withColumn("page", number).select(
-        "record_id", "type", "refers_to", "digest", "payload_bytes", "payload_sha256", F.expr("try_cast(page AS BIGINT)").alias("page_id")
+        "record_id",
+        "type",
+        F.coalesce("payload_sha256", "digest").alias("digest"),
+        "payload_bytes",
+        F.expr("try_cast(page AS BIGINT)").alias("page_id"),
+        # A response is joined with itself: null keys would all meet in one task.
+        F.coalesce("refers_to", "record_id").alias("refers_to"),
     )
-    # A response is joined with itself: null keys would all meet in one task.
-    rows = rows.withColumn("refers_to", F.coalesce("refers_to", "record_id"))
-    targets = rows.where("type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
+    targets = rows.where("type = 'response'").groupBy(F.col("record_id").alias("refers_to"), "digest").agg(
         F.max("payload_bytes").alias("full_bytes"), F.max("page_id").alias("original")
     )
-    return rows.join(targets, "refers_to", "left").select(
+    return rows.join(targets, ["refers_to", "digest"], "left").select(
         "page_id",
         F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"),
-        F.coalesce("payload_sha256", "digest").alias("payload_digest"),
+        F.col("digest").alias("payload_digest"),
         F.col("type").alias("record_type"),
         F.when(F.col("type") == "revisit", F.col("original")).alias("refers_to"),
     )

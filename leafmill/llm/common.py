@@ -19,6 +19,9 @@ SLICE_BYTES = 1 << 20
 # Positions hashed at a time.
 PIECE = 1 << 16
 
+# Of the bitmap that keeps rows out of an exchange; a word is a broadcast row of 16 bytes.
+BITMAP_WORDS = 1 << 18
+
 WORD = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
 
@@ -31,7 +34,7 @@ def numbered(docs: DataFrame, name: str, *order: Column) -> DataFrame:
     """docs, staged, with a bigint ``name`` that no two rows share; it ascends along ``order``.
 
     Rows equal in ``order`` follow a hash of all their columns but maps. Equal rows are
-    dealt by place, so they need not share a task.
+    dealt by place, so they need not share a task. Rows travel whole: pack their texts first.
     """
     if order:
         parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -170,6 +173,29 @@ def shipped(spark: SparkSession, value):
     return get
 
 
+def maybe_among(frame: DataFrame, key: str, keys: DataFrame, flag: str) -> DataFrame:
+    """frame with a boolean ``flag``: false if ``key`` is not in keys (a column of that name).
+
+    A broadcast bitmap of at most BITMAP_WORDS * 64 bits tells; hashes that meet flag some
+    other keys too, at any number of keys. Null is a key like others.
+    """
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * BITMAP_WORDS))
+    words = keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("__word"))
+    bitmap = words.agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("__bits"))
+    placed = frame.withColumn("__p", place).withColumn("__word", F.shiftright("__p", 6))
+    bit = F.expr("coalesce(shiftright(__bits, cast(__p & 63 as int)) & 1L, 0L) = 1")
+    return placed.join(F.broadcast(bitmap), "__word", "left").select(*frame.columns, bit.alias(flag))
+
+
+def told_apart(frame: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of frame whose ``key`` may be among those of keys, and rows whose key is not.
+
+    The first part still needs an exact join; nothing is lost.
+    """
+    flagged = maybe_among(frame, key, keys, "__maybe")
+    return tuple(flagged.where(F.col("__maybe") == F.lit(want)).drop("__maybe") for want in (True, False))
+
+
 def packed(frame: DataFrame, text: str, to: str) -> DataFrame:
     """The frame with a text column compressed as binary ``to``, for exchanges of whole texts.
 
@@ -195,3 +221,25 @@ def packed(frame: DataFrame, text: str, to: str) -> DataFrame:
 def unpacked(value: bytes | None, opener) -> bytes:
     """Bytes of a packed text; null reads as empty. opener: a zstandard.ZstdDecompressor."""
     return b"" if value is None else opener.decompress(value)
+
+
+def opened(keys: np.ndarray, packs: pa.Array, most: int = SLICE_BYTES):
+    """(keys, bytes, offsets) of packed texts, about ``most`` bytes at a time; a longer text stands alone."""
+    import zstandard
+
+    opener = zstandard.ZstdDecompressor()
+    begin, held, size = 0, [], 0
+    for at, pack in enumerate(packs):
+        raw = unpacked(pack.as_py(), opener)
+        if held and size + len(raw) > most:
+            yield part_of(keys[begin:at], held)
+            begin, held, size = at, [], 0
+        held.append(raw)
+        size += len(raw)
+    if held:
+        yield part_of(keys[begin:], held)
+
+
+def part_of(keys: np.ndarray, texts: list[bytes]):
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    return keys, np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum(sizes)])

@@ -24,7 +24,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import ascii_lower, letters, mixed, powers, slices, space_table, span_hashes, text_bytes, word_spans
+from leafmill.llm.common import (
+    ascii_lower,
+    letters,
+    mixed,
+    packed,
+    powers,
+    slices,
+    space_table,
+    span_hashes,
+    text_bytes,
+    told_apart,
+    unpacked,
+    word_spans,
+)
 from leafmill.session import stage
 
 SHINGLE_WORDS = 5
@@ -32,6 +45,9 @@ PERCENT = 75
 PERMUTATIONS = 128
 BAND_VALUES = 5
 
+# Rows whose texts are open at a time.
+OPEN_ROWS = 256
+
 # Words of the bitmaps that hold a set's differences from its bucket's leader.
 BIT_WORDS = 8
 
@@ -127,22 +143,29 @@ def with_sets(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str,
 
     def sets(batches):
         import xxhash
+        import zstandard
 
         kit = (letters(), *powers())
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            # Rows that share an id may have other texts, which are not the node's.
-            values = list(shingle_sets(batch.column(1), width, kit))
-            hashes = np.array([xxhash.xxh3_64_intdigest(v.tobytes()) for v in values], np.uint64).view(np.int64)
-            own = hashes == batch.column(0).to_numpy()
-            values = [v for v, mine in zip(values, own.tolist()) if mine]
-            offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.uint64), *values]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[own]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "items"]
-            )
-
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")
-    whole = texts.select("node", "text").mapInArrow(sets, "node bigint, items array<bigint>")
+            for begin in range(0, batch.num_rows, OPEN_ROWS):
+                part = batch.slice(begin, OPEN_ROWS)
+                texts = pa.array([unpacked(pack.as_py(), opener) for pack in part.column(1)], pa.large_binary())
+                # Rows that share an id may have other texts, which are not the node's.
+                values = list(shingle_sets(texts, width, kit))
+                hashes = np.array([xxhash.xxh3_64_intdigest(v.tobytes()) for v in values], np.uint64).view(np.int64)
+                own = hashes == part.column(0).to_numpy()
+                values = [v for v, mine in zip(values, own.tolist()) if mine]
+                offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, np.uint64), *values]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[own]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "items"]
+                )
+
+    # Only texts that may be asked for are exchanged, compressed.
+    asked, _ = told_apart(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", chosen)
+    texts = packed(asked, "text", "pack").join(chosen, "doc_id")
+    whole = texts.select("node", "pack").mapInArrow(sets, "node bigint, items array<bigint>")
     return pairs.join(whole.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b").join(
         whole.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a"
     )

@@ -22,7 +22,7 @@ from leafmill.llm.quality import THRESHOLD, fitted, held_out, scored
 from leafmill.llm.repeats import without_repeats
 from leafmill.llm.shards import sharded
 from leafmill.llm.whitening import whitened
-from leafmill.session import staging_path
+from leafmill.session import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,7 +72,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    return page_rows(captures(read_records(spark, path)))
+    return page_rows(captures(stage(read_records(spark, path), "warc-records")))
 
 
 @register

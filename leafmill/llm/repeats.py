@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import PIECE, letters, mixed, numbered, packed, powers, slices, text_bytes, unpacked
+from leafmill.llm.common import PIECE, letters, mixed, numbered, opened, packed, powers, slices, text_bytes, told_apart, unpacked
 from leafmill.session import stage
 
 LENGTH = 200
@@ -38,6 +38,9 @@ SORTED_BLOCKS = 256
 # Bytes sorted at a time.
 SORT_BYTES = 1 << 17
 
+# Rows whose texts are open at a time.
+CUT_ROWS = 256
+
 
 def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every run of ``width`` keys, by block-wise running minima."""
@@ -51,11 +54,15 @@ def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, kit: tuple):
-    """(anchor hash, anchor place, first start, last start) of every block of the texts."""
+    """(anchor hash, anchor place, first start, last start) of every block of the texts.
+
+    Runs over PIECE starts at a time, so a text of any length takes the same memory
+    beside its bytes and its blocks.
+    """
     codes, up, down = kit
     width = length - gram + 1
     starts = len(data) - length + 1
-    owners, hashes = [], []
+    found = []
     low = np.uint64((1 << 18) - 1)
     for begin in range(0, starts, PIECE):
         count = min(PIECE, starts - begin)
@@ -66,35 +73,33 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, kit: t
             grams = mixed((sums[gram:] - sums[:-gram]) * down[: len(raw) - gram + 1])
         least = window_minima((grams & ~low) | np.arange(len(grams), dtype=np.uint64), width)
         place = (least & low).astype(np.int64)
-        owners.append(place + begin)
-        hashes.append(grams[place])
-    if not owners:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
-    owner, anchor = np.concatenate(owners), np.concatenate(hashes)
-    # Strings do not cross texts.
-    ends = np.repeat(offsets[1:], np.diff(offsets))[:starts]
-    valid = np.flatnonzero(np.arange(starts) + length <= ends)
-    if not len(valid):
+        # Strings do not cross texts.
+        at = np.arange(begin, begin + count)
+        valid = np.flatnonzero(at + length <= offsets[np.searchsorted(offsets, at, side="right")])
+        if not len(valid):
+            continue
+        owner = place[valid]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(valid) != 1)]))
+        last = np.concatenate([new[1:], [len(valid)]]) - 1
+        found.append((grams[owner[new]], owner[new] + begin, valid[new] + begin, valid[last] + begin))
+    if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
-    owner, anchor = owner[valid], anchor[valid]
-    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (np.diff(valid) != 1)]))
-    last = np.concatenate([new[1:], [len(valid)]]) - 1
-    return anchor[new].view(np.int64), owner[new], valid[new], valid[last]
+    anchor, owner, first, last = (np.concatenate(column) for column in zip(*found))
+    # A block that goes on in the next piece.
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (first[1:] != last[:-1] + 1)]))
+    end = np.concatenate([new[1:], [len(owner)]]) - 1
+    return anchor[new].view(np.int64), owner[new], first[new], last[end]
 
 
 def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc, anchor, content, at, starts): a row per block of (doc, text) rows."""
+    """(doc, anchor, content, at, starts): a row per block of (doc, pack) rows."""
 
     def cut(batches):
         import xxhash
 
         kit = (letters(), *powers(PIECE + length + 1))
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, last in slices(offsets):
-                part = data[offsets[first] : offsets[last]]
-                local = offsets[first : last + 1] - offsets[first]
+            for ids, part, local in opened(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)):
                 anchor, _, begin, end = blocks(part, local, length, gram, kit)
                 row = np.searchsorted(local, begin, side="right") - 1
                 view = memoryview(part)
@@ -105,7 +110,7 @@ def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[first:last][row]),
+                        pa.array(ids[row]),
                         pa.array(anchor),
                         pa.array(content.view(np.int64)),
                         pa.array(begin - local[row]),
@@ -254,14 +259,15 @@ def found(contents: DataFrame, length: int, keep_first: bool, grams: tuple[int,
 
 
 def repeated_spans(
-    docs: DataFrame, doc: Column, text: Column, length: int = LENGTH, keep_first: bool = False, gram: int = GRAM
+    docs: DataFrame, doc: Column, pack: Column, length: int = LENGTH, keep_first: bool = False, gram: int = GRAM
 ) -> DataFrame:
     """(doc, begin, end): byte ranges covered by repeated strings, not yet merged.
 
     keep_first: the first occurrence in order of (doc, place) stays; otherwise every
-    occurrence counts. doc is a bigint without nulls that no two rows share. Stages tables.
+    occurrence counts. doc is a bigint without nulls that no two rows share, pack the text
+    as ``packed`` gives it. Stages tables.
     """
-    named = docs.select(doc.alias("doc"), text.alias("text"))
+    named = docs.select(doc.alias("doc"), pack.alias("pack"))
     all_blocks = anchored(named, length, gram)
     # Written, so that the join has plain exchanges on both sides and can split a hot anchor.
     seen = stage(
@@ -307,7 +313,7 @@ def repeated_spans(
                     names=["anchor", "doc", "at", "bytes", "blocks"],
                 )
 
-    texts = packed(named, "text", "pack").join(asked, "doc").select("doc", "pack", "asked")
+    texts = told_apart(named, "doc", wanted)[0].join(asked, "doc").select("doc", "pack", "asked")
     contents = stage(
         texts.mapInArrow(fetch, "anchor bigint, doc bigint, at bigint, bytes binary, blocks bigint"), "repeats-contents"
     )
@@ -325,54 +331,72 @@ def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def without_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, keep_first: bool = True
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    keep_first: bool = True,
+    as_text: bool = False,
 ) -> DataFrame:
-    """docs with columns ``kept`` (binary), ``n_removed``, ``n_spans`` added, text gone.
+    """docs with columns ``kept``, ``n_bytes``, ``n_removed``, ``n_spans`` in place of the text.
 
-    The text column is replaced by its remaining bytes. A null text reads as empty. Every
+    kept has the remaining bytes; with as_text it is a string, in which a cut inside a
+    character drops that character's remaining bytes. A null text reads as empty. Every
     row counts by itself, with or without an id of its own: with keep_first rows follow
-    each other by id (null first), those of one id by a hash of the text. Other columns
-    stay as they are. Stages tables, one of them with the texts.
+    each other by id (null first), those of one id by a hash of the text. An empty table
+    gives no rows. Other columns stay as they are, but for columns of docs with the four
+    names above, which are replaced. Stages tables, one of them with the texts, compressed.
     """
-    order = (F.col(doc_id).cast("bigint").asc_nulls_first(), F.xxhash64(text)) if keep_first else ()
-    columns = docs.columns
-    docs = numbered(docs, "__doc", *order)
-    spans = stage(repeated_spans(docs, F.col("__doc"), F.col(text), length, keep_first), "repeats-spans")
+    results = ("kept", "n_bytes", "n_removed", "n_spans")
+    rest = [name for name in docs.columns if name != text and name not in results]
+    # Texts are compressed before rows are dealt by their order: it sorts keys and packs.
+    renamed = docs.select(
+        *(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(rest)),
+        F.col(f"`{doc_id}`").cast("bigint").alias("__id"),
+        F.xxhash64(text).alias("__hash"),
+        F.col(f"`{text}`").alias("__text"),
+    )
+    order = (F.col("__id").asc_nulls_first(), F.col("__hash")) if keep_first else ()
+    rows = numbered(packed(renamed, "__text", "__pack"), "__doc", *order)
+    spans = stage(repeated_spans(rows, F.col("__doc"), F.col("__pack"), length, keep_first), "repeats-spans")
     listed = spans.groupBy("doc").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
-    rest = [name for name in columns if name != text]
-    renamed = docs.select("__doc", *(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(rest)), F.col(text).alias("__text"))
-    joined = packed(renamed, "__text", "__pack").join(listed.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
+    listed = listed.withColumnRenamed("doc", "__doc")
+    # Texts without any span stay where they are.
+    touched, whole = told_apart(rows, "__doc", spans.select(F.col("doc").alias("__doc")))
+    none = F.lit(None).cast("array<bigint>")
+    joined = touched.join(listed, "__doc", "left").unionByName(whole.withColumns({"begins": none, "ends": none}))
     fields = [(f"c{i}", docs.schema[n].dataType.simpleString()) for i, n in enumerate(rest)]
-    schema = ", ".join(f"{n} {t}" for n, t in fields) + ", kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
+    kept_kind = "string" if as_text else "binary"
+    schema = "".join(f"{n} {t}, " for n, t in fields) + f"kept {kept_kind}, n_bytes bigint, n_removed bigint, n_spans bigint"
 
     def cut(batches):
         import zstandard
 
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            kept, sizes, removed, spans_of = [], [], [], []
-            for pack, begins, ends in zip(batch.column("__pack"), batch.column("begins"), batch.column("ends")):
-                raw = unpacked(pack.as_py(), opener)
-                sizes.append(len(raw))
-                if begins.is_valid:
-                    first, last = merged(begins.values.to_numpy(), ends.values.to_numpy())
-                    edges = np.concatenate([[0], np.stack([first, last], 1).ravel(), [len(raw)]]).tolist()
-                    kept.append(b"".join(raw[a:b] for a, b in zip(edges[0::2], edges[1::2])))
-                    spans_of.append(len(first))
-                else:
-                    kept.append(raw)
-                    spans_of.append(0)
-                removed.append(len(raw) - len(kept[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(n) for n, _ in fields),
-                    pa.array(kept, pa.binary()),
-                    *(pa.array(x, pa.int64()) for x in (sizes, removed, spans_of)),
-                ],
-                names=[*(n for n, _ in fields), "kept", "n_bytes", "n_removed", "n_spans"],
-            )
+            # Some rows at a time: opened texts are larger than their packs.
+            for begin in range(0, batch.num_rows, CUT_ROWS):
+                part = batch.slice(begin, CUT_ROWS)
+                kept, sizes, removed, spans_of = [], [], [], []
+                for pack, begins, ends in zip(part.column("__pack"), part.column("begins"), part.column("ends")):
+                    raw = unpacked(pack.as_py(), opener)
+                    sizes.append(len(raw))
+                    left = raw
+                    if begins.is_valid:
+                        first, last = merged(begins.values.to_numpy(), ends.values.to_numpy())
+                        edges = np.concatenate([[0], np.stack([first, last], 1).ravel(), [len(raw)]]).tolist()
+                        left = b"".join(raw[a:b] for a, b in zip(edges[0::2], edges[1::2]))
+                    spans_of.append(len(first) if begins.is_valid else 0)
+                    removed.append(len(raw) - len(left))
+                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(n) for n, _ in fields),
+                        pa.array(kept, pa.string() if as_text else pa.binary()),
+                        *(pa.array(x, pa.int64()) for x in (sizes, removed, spans_of)),
+                    ],
+                    names=[*(n for n, _ in fields), *results],
+                )
 
-    cut_rows = joined.mapInArrow(cut, schema)
-    return cut_rows.select(
-        *(F.col(f"c{i}").alias(n) for i, n in enumerate(rest)), "kept", "n_bytes", "n_removed", "n_spans"
-    )
+    picked = joined.select(*(n for n, _ in fields), "__pack", "begins", "ends")
+    return picked.mapInArrow(cut, schema).select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(rest)), *results)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import uuid
@@ -300,6 +301,55 @@ def test_every_two_replaced_words_leave_a_seed():
             )
 
 
+@pytest.mark.parametrize("size", range(1, 14))
+def test_every_allowed_replacement_leaves_a_seed(size):
+    spare = max(k for k in range(size + 1) if size - k >= leaks.SHARE * size)
+    for replaced in itertools.combinations(range(size), spare):
+        assert any(
+            all(at + i not in replaced for i, c in enumerate(mask) if c == "1")
+            for mask in leaks.masks_of(size)
+            for at in range(size - len(mask) + 1)
+        )
+
+
+def leaked(docs, tests):
+    """(doc_id, item_id): every alignment of every item with every document, window by window."""
+    split = lambda text: [w for w in re.split(r"[^a-z0-9]+", (text or "").lower()) if w]
+    out = set()
+    for doc, text in docs:
+        body = split(text)
+        for item, wanted in tests:
+            parts = split(wanted)
+            window = min(len(parts), leaks.WINDOW)
+            for shift in range(1 - len(parts), len(body)) if parts else ():
+                same = [0 <= shift + i < len(body) and body[shift + i] == w for i, w in enumerate(parts)]
+                if any(sum(same[k : k + window]) >= leaks.SHARE * window for k in range(len(parts) - window + 1)):
+                    out.add((doc, item))
+    return out
+
+
+@pytest.mark.parametrize("block_seeds", [leaks.BLOCK_SEEDS, 40])
+def test_leaks_of_items_of_every_length(spark, block_seeds):
+    rng = random.Random(6)
+    tests, texts = [], []
+    for size in [*range(1, 15), 20, 40]:
+        item = [f"w{size}x{i}" for i in range(size)]
+        tests.append((size, " ".join(item)))
+        window = min(size, leaks.WINDOW)
+        spare = max(k for k in range(window + 1) if window - k >= leaks.SHARE * window)
+        for replaced in {0, spare, spare + 1}:
+            for _ in range(4):
+                copy = list(item)
+                for at in rng.sample(range(window), min(replaced, window)):
+                    copy[at] = "other"
+                texts.append(" ".join([*(f"a{rng.random()}" for _ in range(rng.randint(0, 5))), *copy, "end"]))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = leaks.leaks(docs, spark.createDataFrame(tests, "item_id bigint, text string"), block_seeds=block_seeds)
+    got = [(r.doc_id, r.item_id) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == leaked(rows, tests)
+
+
 def test_leaks(spark, nothing):
     item, other = words_of(20, 30), words_of(21, 30)
     swapped = item.split()
@@ -316,7 +366,8 @@ def test_leaks(spark, nothing):
     docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id bigint, text string, item_id string")
     tests = spark.createDataFrame([(1, item), (2, other), (3, "too short"), (None, item), (4, None)], "item_id bigint, text string")
     got = {(r.doc_id, r.item_id): (r.matched_words, r.item_words, r.at_word) for r in leaks.leaks(docs, tests).collect()}
-    assert got == {(1, 1): (30, 30, 50), (2, 1): (27, 30, 0), (4, 1): (20, 30, -10), (1, 2): (30, 30, 0)}
+    # Rows without an id are searched too, and count as one document.
+    assert got == {(1, 1): (30, 30, 50), (2, 1): (27, 30, 0), (4, 1): (20, 30, -10), (1, 2): (30, 30, 0), (None, 1): (30, 30, 0)}
     assert leaks.leaks(nothing, tests).count() == 0 and leaks.leaks(docs, tests.limit(0)).count() == 0
 
 
@@ -354,6 +405,41 @@ def test_archives(spark):
     assert kept == {page, "short", "", "y" * 70_000, "z" * 200}
 
 
+def page_facts(rows):
+    """(page_id, bytes, digest, kind, refers_to) of (page_id, url, html) rows, by brute force."""
+    least: dict = {}
+    for key, _, html in rows:
+        if key is not None:
+            least[html or ""] = min(key, least.get(html or "", key))
+    out = []
+    for key, _, html in rows:
+        body = (html or "").encode()
+        first = least.get(html or "")
+        again = len(body) >= 100 and first is not None and first != key
+        out.append((key, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first if again else None))
+    return out
+
+
+def test_archives_of_repeated_and_missing_page_ids(spark, tmp_path):
+    big, other = "a" * 150, "b" * 400
+    rows = [(1, "u", big), (1, "v", other), (2, "w", big), (3, "x", other), (3, "x", other), (1, "u", big)]
+    rows += [(None, f"n{k}", "c" * 120 if k % 3 else f"{k} " * 60) for k in range(200)] + [(7, "s", "c" * 120), (8, "t", "c" * 120)]
+    pages = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id bigint, url string, html string, digest string, place int")
+    pages.repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    got = Counter(tuple(r) for r in queries.op5_warc_captures(spark, str(tmp_path)).collect())
+    assert got == Counter(page_facts(rows))
+    path = f"{checkpoint_folder(spark)}/warc-{uuid.uuid4().hex}"
+    archives.write_archives(spark.read.parquet(f"{tmp_path}/pages.parquet"), path)
+    nested = archives.captures(archives.read_records(spark, path)).collect()
+    assert len({r.record_id for r in nested}) == len(rows)
+    assert all(len(r.requests) == 1 and len(r.metadata) == 1 for r in nested)
+
+
+def test_archives_of_no_pages(spark, tmp_path):
+    spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert queries.op5_warc_captures(spark, str(tmp_path)).collect() == []
+
+
 def test_languages(spark, nothing):
     rows = [(k, words_of(k, 60), "xx") for k in range(40)] + [(100 + k, words_of(k, 60).translate(str.maketrans("abcdefghij", "klmnopqrst")), "yy") for k in range(40)]
     docs = spark.createDataFrame([*rows, (500, None, "xx"), (501, "q", None)], "doc_id bigint, text string, lang string")
@@ -422,5 +508,5 @@ def test_pipeline_stages_judge_rows_without_an_id_of_their_own(spark, tmp_path):
 
 
 def test_registered_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
