@@ -43,20 +43,10 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A cut inside a character drops that character's remaining bytes.
     """
-    cut = without_repeats(docs.select(*COLUMNS, F.col("text").isNull().alias("text_is_null")))
-    whole = F.when(F.col("n_removed") > 0, clean_utf8(F.col("kept"))).otherwise(F.col("kept").cast("string"))
-    texts = cut.withColumn("text", F.when(~F.col("text_is_null"), whole))
-    return texts.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
-
-
-def clean_utf8(kept):
-    """Bytes as text, without parts of characters."""
-
-    @F.pandas_udf("string")
-    def clean(column):
-        return column.map(lambda raw: raw.decode("utf-8", "ignore"))
-
-    return clean(kept)
+    marked = docs.select(*COLUMNS, F.col("text").isNull().alias("text_is_null"))
+    cut = without_repeats(marked, as_text=True).withColumn("text", F.when(~F.col("text_is_null"), F.col("kept")))
+    length = F.char_length("text").cast("bigint")
+    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
