@@ -1,9 +1,10 @@
 """Token counts by a map-side two-tier lookup.
 
-The counts of frequent pre-tokens travel to the tasks in a table of fixed size; other
-pre-tokens are encoded in the task and kept in a cache of fixed size. No pre-token is
-shuffled. The table comes from a bounded sample and only saves time: counts do not
-depend on it.
+The token counts of frequent pre-tokens travel to the tasks in a table of fixed size;
+other pre-tokens are encoded in the task and kept in a cache of fixed size. No pre-token
+is shuffled. What is frequent is counted over all texts: tasks count words, keep those
+that are frequent in a slice, and hand out a bounded number of sums. The table only saves
+time: results do not depend on it.
 """
 
 from __future__ import annotations
@@ -12,17 +13,21 @@ from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.llm.common import letters, powers, slices, space_table, span_hashes, text_bytes, word_spans
 from leafmill.llm.pretokens import portions
 
-# Rows and leading characters the frequent table is drawn from, and its entries.
-SAMPLE_ROWS = 1_000
-SAMPLE_CHARS = 2_000
+# Entries of the frequent table, and of what a task hands out for it.
 FREQUENT = 16_384
 
+# Words that a slice of about a megabyte may add to a task's sums, by how often it has them.
+SLICE_WORDS = 4_096
+WORD_BYTES = 64
+
 CACHED = 1 << 19
 CACHED_CHARS = 64
 LIMIT = 512
@@ -51,11 +56,40 @@ def encoder(definition: str):
     return regex.compile(public_tokenizers.PATTERN), cutter, lengths
 
 
-def frequent(texts: list[str], definition: str) -> dict[str, int]:
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(word, n): how often words occur, for those that are frequent in some slice. One pass
+    over all texts; a task keeps at most 4 * FREQUENT sums and hands out FREQUENT."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kit, spaces = (letters(), *powers()), space_table()
+        sums: Counter = Counter()
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(0))
+            for first, last in slices(offsets):
+                part = data[offsets[first] : offsets[last]]
+                begins, ends, _ = word_spans(part, offsets[first : last + 1] - offsets[first], spaces)
+                _, at, times = np.unique(span_hashes(part, begins, ends, kit), return_index=True, return_counts=True)
+                often = np.argsort(-times, kind="stable")[:SLICE_WORDS]
+                for word, n in zip(at[often].tolist(), times[often].tolist()):
+                    if ends[word] - begins[word] <= WORD_BYTES:
+                        sums[part[begins[word] : ends[word]].tobytes()] += n
+                if len(sums) > 4 * FREQUENT:
+                    sums = Counter(dict(sums.most_common(2 * FREQUENT)))
+        found = sums.most_common(FREQUENT)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([w for w, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], names=["word", "n"]
+        )
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent(words: list[tuple[bytes, int]], definition: str) -> dict[str, int]:
+    """Token counts of the most frequent pre-tokens of (word, how often), each after a space."""
     matcher, _, lengths = encoder(definition)
     seen: Counter = Counter()
-    for text in texts:
-        seen.update(matcher.findall(text))
+    for word, n in words:
+        for piece in matcher.findall(" " + word.decode("utf-8", "ignore")):
+            seen[piece] += n
     pieces = [piece for piece, _ in seen.most_common(FREQUENT)]
     return dict(zip(pieces, lengths(pieces)))
 
@@ -65,11 +99,14 @@ def token_counts(docs: DataFrame, tokenizer_file: str, text: str = "text", limit
 
     Counts are those of the tokenizers library for the whole text, without tokens at
     begin or end; the file's special strings count as its added tokens. Null reads as
-    empty. Columns of the added names are replaced. Reads a sample when called.
+    empty; equal rows get equal counts, and an empty table gives no rows. Columns of the
+    added names are replaced. Counts the words of all texts when called, and reads the
+    FREQUENT most frequent.
     """
     definition = Path(tokenizer_file).read_text()
-    sample = docs.select(F.substring(F.col(text), 1, SAMPLE_CHARS)).where(F.col(text).isNotNull()).limit(SAMPLE_ROWS)
-    shared = docs.sparkSession.sparkContext.broadcast((definition, frequent([r[0] for r in sample.collect()], definition)))
+    top = word_counts(docs, text).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    table_of = frequent([(bytes(r["word"]), r["n"]) for r in top], definition)
+    shared = docs.sparkSession.sparkContext.broadcast((definition, table_of))
     added = ("n_bytes", "n_tokens", "over_limit")
     rest = [f for f in docs.schema if f.name != text and f.name not in added]
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(rest))
