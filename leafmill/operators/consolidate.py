@@ -46,9 +46,13 @@ def attach_fields_inline(extracted: DataFrame, rules: Sequence[GateRule], names:
 def attach_region(documents: DataFrame, regions: DataFrame, on: str = "substation_name", region: str = "region") -> DataFrame:
     """Region by name. A name with several regions gets none, so that only those who see
     all rows see it (``region_conflicts`` lists them). Spark broadcasts the mapping when
-    its measured size allows, and splits hot names otherwise (AQE)."""
+    its measured size allows, and splits hot names otherwise (AQE).
+
+    Documents keep the region as a column of their contract, and so do their chunks and
+    the index made of these. A region that documents had before is replaced."""
     one = F.when(F.min(region) == F.max(region), F.min(region))
-    return documents.join(regions.groupBy(on).agg(one.alias(region)), on, "left")
+    plain = documents.drop(region) if region != on else documents
+    return plain.join(regions.groupBy(on).agg(one.alias(region)), on, "left")
 
 
 def region_conflicts(regions: DataFrame, on: str = "substation_name", region: str = "region") -> DataFrame:

@@ -30,6 +30,7 @@ from leafmill.operators.topk import (
     hit_schema,
     ranked,
     rows_at_a_time,
+    tree_ranked,
 )
 from leafmill.session import stage
 
@@ -191,7 +192,7 @@ def keyword_top_k(
     total = index.rows.agg(F.count("*").alias("n"), F.avg("chunk_len").alias("mean")).first()
     made = _Block.of(sorted(uses, key=lambda u: (u["term"], u["query_id"])), holders, total["n"], total["mean"])
     rows = index.rows.select("chunk_id", "chunk_len", F.col("terms.value").alias("words"), F.col("terms.n").alias("counts"))
-    return ranked(rows.mapInArrow(_scan(made, k, types), ddl), k)
+    return tree_ranked(rows.mapInArrow(_scan(made, k, types), ddl), k)
 
 
 def term_weights(index: KeywordIndex, terms: DataFrame) -> DataFrame:

@@ -25,6 +25,19 @@ def row_filter(
     return frame.join(allowed, region, "left_semi")
 
 
+def user_labels(user_regions: DataFrame, admins: Sequence[str] = ()) -> DataFrame:
+    """user_email, labels: the regions that each user may see; null for admins, who see all rows.
+
+    A user has as many regions as the mapping gives; NULL regions give nothing.
+    """
+    listed = user_regions.groupBy("user_email").agg(F.array_sort(F.collect_set("region_code")).alias("labels"))
+    is_admin = F.col("user_email").isin(list(admins))
+    known = listed.select("user_email", F.when(~is_admin, F.col("labels")).alias("labels"))
+    unlisted = user_regions.sparkSession.createDataFrame([(a,) for a in admins], "user_email string")
+    rest = unlisted.join(listed, "user_email", "left_anti").withColumn("labels", F.lit(None).cast("array<string>"))
+    return known.unionByName(rest)
+
+
 def mask_column(value: Column, allowed: bool | Column) -> Column:
     shown = F.lit(allowed) if isinstance(allowed, bool) else allowed
     return F.when(shown, value).otherwise(F.lit(MASK))

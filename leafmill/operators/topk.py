@@ -37,6 +37,24 @@ def ranked(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+# Tasks whose best rows of a query are merged at a time.
+MERGE_TASKS = 256
+
+
+def tree_ranked(scored: DataFrame, k: int, by: tuple[str, ...] = ("query_id",), tie: str = "chunk_id") -> DataFrame:
+    """As ``ranked`` for rows that tasks hand out, merged in two levels.
+
+    First the best k of every MERGE_TASKS tasks, then of these. So of one query no task
+    reads more than MERGE_TASKS * k rows up to MERGE_TASKS**2 tasks.
+    """
+    order = [F.col("score").desc(), F.col(tie)]
+    group = (F.spark_partition_id() / F.lit(MERGE_TASKS)).cast("int")
+    first = Window.partitionBy(*by, "_tasks").orderBy(*order)
+    near = scored.withColumn("_tasks", group).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
+    last = Window.partitionBy(*by).orderBy(*order)
+    return near.drop("_tasks", "rank").withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
+
+
 def hit_schema(queries: DataFrame, rows: DataFrame) -> tuple[str, tuple[pa.DataType, pa.DataType]]:
     """Spark and Arrow types of (query_id, chunk_id, score)."""
     names = [queries.schema["query_id"].dataType.simpleString(), rows.schema["chunk_id"].dataType.simpleString()]

@@ -26,6 +26,7 @@ from leafmill.operators.topk import (
     hit_schema,
     ranked,
     rows_at_a_time,
+    tree_ranked,
 )
 from leafmill.session import stage, staging_path
 
@@ -64,8 +65,14 @@ def mean_vectors(frame: DataFrame, group: str, vector: str, key: str = "query_id
     return dense_vectors(whole, key, "mean")
 
 
+def one_per_query(query_vectors: DataFrame) -> DataFrame:
+    """query_id, buckets, weights with distinct ids: of rows that share one, the smallest."""
+    one = query_vectors.groupBy("query_id").agg(F.min(F.struct("buckets", "weights")).alias("v"))
+    return one.select("query_id", "v.buckets", "v.weights")
+
+
 @dataclass(frozen=True)
-class _Block:
+class QueryVectors:
     """Query vectors in flat form, small enough to travel with the task."""
 
     ids: list
@@ -74,9 +81,9 @@ class _Block:
     weights: np.ndarray
 
     @staticmethod
-    def of(records: list) -> _Block:
+    def of(records: list) -> QueryVectors:
         counts = [len(r["buckets"]) for r in records]
-        return _Block(
+        return QueryVectors(
             [r["query_id"] for r in records],
             np.repeat(np.arange(len(records)), counts),
             np.concatenate([np.asarray(r["buckets"], dtype=np.int64) for r in records]),
@@ -89,7 +96,7 @@ class _Block:
         return full
 
 
-def _scan(block: _Block, dims: int, k: int, positive: bool, types: tuple):
+def _scan(block: QueryVectors, dims: int, k: int, positive: bool, types: tuple):
     """Task side: scores of all queries by matrix product, a piece of rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +124,7 @@ def _answer_block(records: list, vectors: DataFrame, queries: DataFrame, dims: i
     ddl, types = hit_schema(queries, vectors)
     if not records:
         return vectors.sparkSession.createDataFrame([], ddl)
-    run = _scan(_Block.of(records), dims, k, positive, types)
+    run = _scan(QueryVectors.of(records), dims, k, positive, types)
     return vectors.select("chunk_id", "buckets", "weights").mapInArrow(run, ddl)
 
 
@@ -131,27 +138,27 @@ def vector_top_k(
 ) -> DataFrame:
     """query_id, chunk_id, score, rank of the k best vectors per query, exact.
 
-    ``positive`` leaves out chunks without similarity. The query vectors are read
-    here, at most one block at a time; with more than a block, each block's answer
-    is staged before the next is read.
+    ``positive`` leaves out chunks without similarity. Of rows that share a query id one
+    counts, the same for any number of queries. The query vectors are read here, at most one
+    block at a time; with more than a block, each block's answer is staged before the
+    next is read.
     """
-    columns = query_vectors.select("query_id", "buckets", "weights")
+    columns = one_per_query(query_vectors)
     records = columns.limit(block + 1).collect()
     if len(records) <= block:
-        return ranked(_answer_block(records, vectors, query_vectors, dims, k, positive), k)
+        return tree_ranked(_answer_block(records, vectors, query_vectors, dims, k, positive), k)
     spark = vectors.sparkSession
     held = stage(columns, "query-vectors")
-    # Twice as many hash groups as full blocks; ids are distinct, so groups are even.
-    groups = -(-held.count() // block) * 2
+    groups = -(-held.count() // block)
     path = staging_path(spark, "vector-hits")
     schema = None
     for g in range(groups):
-        part = held.where(F.pmod(F.xxhash64("query_id"), F.lit(groups)) == g).limit(2 * block + 1).collect()
-        if len(part) > 2 * block:
-            raise ValueError("query ids must be distinct")
-        hits = ranked(_answer_block(part, vectors, query_vectors, dims, k, positive), k)
-        schema = hits.schema
-        hits.write.mode("append").parquet(path)
+        # Ids are distinct, so hash groups are even: about a block each.
+        part = held.where(F.pmod(F.xxhash64("query_id"), F.lit(groups)) == g).collect()
+        for begin in range(0, len(part), block):
+            hits = tree_ranked(_answer_block(part[begin : begin + block], vectors, query_vectors, dims, k, positive), k)
+            schema = hits.schema
+            hits.write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from leafmill.operators.chunks import document_chunks, union_chunks
-from leafmill.operators.consolidate import attach_fields_inline
+from leafmill.operators.consolidate import attach_fields_inline, attach_region
 from leafmill.operators.debriefs import debrief_chunks
 from leafmill.operators.fields import FieldRule, GateRule, extract_fields
 from leafmill.operators.pages import canonical_copies, line_pages
@@ -43,6 +43,18 @@ def fielded_chunks(
     return document_chunks(document_table(files, rules, gates, names))
 
 
+def regional_chunks(
+    files: DataFrame,
+    rules: Sequence[FieldRule],
+    gates: Sequence[GateRule],
+    names: Sequence[str],
+    regions: DataFrame,
+    on: str = "substation_name",
+) -> DataFrame:
+    """Text files to chunks with their page's fields and region (by the field ``on``)."""
+    return document_chunks(attach_region(document_table(files, rules, gates, names), regions, on))
+
+
 def corpus_chunks(files: DataFrame, turns: DataFrame) -> DataFrame:
     """Document chunks and transcript chunks in one table."""
     return union_chunks(page_chunks(files), debrief_chunks(assemble_transcripts(turns)))

@@ -15,12 +15,12 @@ DOCUMENT = (
     "doc_id string, source_path string, source_kind string, page_number int, "
     "page_text string, content_hash string, substation_name string, "
     "voltage_class_kv double, equipment_ids array<string>, study_date date, "
-    "approving_engineer string"
+    "approving_engineer string, region string"
 )
 CHUNK = (
     "chunk_id string, doc_id string, source_path string, source_kind string, "
     "page_number int, chunk_index int, chunk_text string, substation_name string, "
-    "voltage_class_kv double, equipment_ids array<string>"
+    "voltage_class_kv double, equipment_ids array<string>, region string"
 )
 STRUCTURED = (
     "struct<topics:array<string>,equipment_mentioned:array<string>,"

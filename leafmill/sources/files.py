@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.columns import KIND_ROUTES, UNKNOWN_KIND, path_id, route_kind
@@ -62,6 +63,52 @@ def split_decodable(decoded: DataFrame, name: str = "text") -> tuple[DataFrame,
     return good, bad
 
 
+# Byte-order marks, longer ones before those they begin with.
+ENCODING_MARKS = (
+    ("0000FEFF", "UTF-32BE"),
+    ("FFFE0000", "UTF-32LE"),
+    ("EFBBBF", "UTF-8"),
+    ("FEFF", "UTF-16BE"),
+    ("FFFE", "UTF-16LE"),
+)
+
+
+def encoding_mark(content: Column) -> Column:
+    """The encoding that the first bytes announce; NULL without a mark."""
+    head = F.hex(F.substring(content, 1, 4))
+    found = F.lit(None).cast("string")
+    for mark, encoding in reversed(ENCODING_MARKS):
+        found = F.when(head.startswith(mark), encoding).otherwise(found)
+    return found
+
+
+def first_bad_byte(content: Column) -> Column:
+    """How many bytes come before the first that is not UTF-8; NULL if all are, or there is no content."""
+
+    @F.pandas_udf("bigint")
+    def place(column: pd.Series) -> pd.Series:
+        def of(raw):
+            try:
+                bytes(raw).decode("utf-8")
+            except UnicodeDecodeError as problem:
+                return problem.start
+            return None
+
+        return column.map(of, na_action="ignore").astype("Int64")
+
+    return place(content)
+
+
+def located_rejects(decoded: DataFrame, name: str = "text") -> DataFrame:
+    """Rejected files as rows: all columns but content and text, with ``bad_at`` (the offset
+    of the first byte that is not UTF-8) and ``encoding_mark``. Only rejected files are
+    looked through again. A file without content is rejected with both NULL."""
+    bad = decoded.where(F.col(name).isNull())
+    return bad.withColumns(
+        {"bad_at": first_bad_byte(F.col("content")), "encoding_mark": encoding_mark(F.col("content"))}
+    ).drop("content", name)
+
+
 def read_transcripts(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
     """Whole-file transcripts: source_path, transcript (NULL if unreadable), debrief_id."""
     files = decode_text(scan_files(spark, directory, glob), "transcript")

@@ -12,13 +12,15 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leafmill.operators.chunks import document_chunks
 from leafmill.operators.consolidate import attach_fields_inline
 from leafmill.operators.fields import SUBSTATION_RULES, extract_fields, substation_gate
-from leafmill.operators.pages import assemble_pages, canonical_copies
+from leafmill.operators.pages import PAGE_KEY, assemble_pages, canonical_copies
+from leafmill.schemas import PAGE
 from leafmill.session import stage
 
 # Fields that the document table carries on from extraction.
@@ -30,13 +32,39 @@ TABLES = ("pages", "documents", "chunks")
 FULL_EVERY = 16
 
 
+# Folders that the documents of a version are dealt into by content hash.
+HASH_BUCKETS = 256
+
+# What decides on copies; a page's text does not.
+NARROW = (*PAGE_KEY, "content_hash")
+
+
+def hash_bucket(content_hash: Column) -> Column:
+    return F.pmod(F.xxhash64(content_hash), F.lit(HASH_BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class Corpus:
-    """Pages of all files; documents without copies; chunks of the documents."""
+    """Pages of all files; documents without copies; chunks of the documents.
+
+    ``stored``: the documents with the folder they lie in (``hash_bucket``), if they do.
+    """
 
     pages: DataFrame
     documents: DataFrame
     chunks: DataFrame
+    stored: DataFrame | None = None
+
+    def texts(self, hashes: DataFrame) -> DataFrame:
+        """content_hash, page_text of the hashes that documents have: every hash of a page has
+        one there. Of stored documents only the folders of these hashes are read."""
+        source = self.documents
+        if self.stored is not None:
+            # At most HASH_BUCKETS numbers.
+            folders = hashes.select(hash_bucket(F.col("content_hash")).alias("b")).distinct().collect()
+            source = self.stored.where(F.col("hash_bucket").isin([r["b"] for r in folders]))
+        met = source.select("content_hash", "page_text").join(hashes, "content_hash", "left_semi")
+        return met.dropDuplicates(["content_hash"])
 
 
 @dataclass(frozen=True)
@@ -51,10 +79,13 @@ class Change:
         return kept.select(*table.columns).unionByName(self.come.select(*table.columns))
 
 
-def consolidate(pages: DataFrame) -> DataFrame:
+def with_fields(canonical: DataFrame) -> DataFrame:
     """Canonical pages with their accepted fields."""
-    extracted = extract_fields(canonical_copies(pages), SUBSTATION_RULES)
-    return attach_fields_inline(extracted, substation_gate(), DOCUMENT_FIELDS)
+    return attach_fields_inline(extract_fields(canonical, SUBSTATION_RULES), substation_gate(), DOCUMENT_FIELDS)
+
+
+def consolidate(pages: DataFrame) -> DataFrame:
+    return with_fields(canonical_copies(pages))
 
 
 def full_corpus(pages: DataFrame) -> Corpus:
@@ -69,18 +100,25 @@ def corpus_changes(before: Corpus, arrived: DataFrame, documents: DataFrame | No
     or removed, and what was there of it goes. By default those that have pages.
 
     A page's fate depends only on pages with its content hash. So only hashes that
-    the arriving documents have, or had, are decided again.
+    the arriving documents have, or had, are decided again, and by narrow columns: of the
+    pages before, no text is read. The text of a page that becomes canonical comes from
+    an arriving page with its hash, or from the document that had it.
     """
     documents = (arrived if documents is None else documents).select("doc_id").distinct()
-    had = before.pages.join(documents, "doc_id", "left_semi").select("content_hash")
-    touched = had.unionByName(arrived.select("content_hash")).distinct()
-    pages = Change(documents, arrived)
-    decided = consolidate(pages.apply(before.pages).join(touched, "content_hash", "left_semi").select(*before.pages.columns))
-    stale = before.documents.join(touched, "content_hash", "left_semi").select("doc_id", "page_number").distinct()
+    keys, arrived_keys = before.pages.select(*NARROW), arrived.select(*NARROW)
+    had = keys.join(documents, "doc_id", "left_semi").select("content_hash")
+    touched = stage(had.unionByName(arrived.select("content_hash")).distinct(), "touched-hashes")
+    rest = keys.join(touched, "content_hash", "left_semi").join(documents, "doc_id", "left_anti")
+    canonical = canonical_copies(rest.select(*NARROW).unionByName(arrived_keys))
+    here = arrived.select("content_hash", "page_text").dropDuplicates(["content_hash"])
+    moved = stage(touched.join(arrived.select("content_hash"), "content_hash", "left_anti"), "moved-hashes")
+    texts = here.unionByName(before.texts(moved))
+    decided = with_fields(canonical.join(texts, "content_hash").select(*PAGE_KEY, "page_text", "content_hash"))
+    stale = before.documents.select("content_hash", "doc_id", "page_number").join(touched, "content_hash", "left_semi")
     return {
-        "pages": pages,
+        "pages": Change(documents, arrived),
         "documents": Change(touched, decided),
-        "chunks": Change(stale, document_chunks(decided)),
+        "chunks": Change(stale.select("doc_id", "page_number").distinct(), document_chunks(decided)),
     }
 
 
@@ -90,15 +128,26 @@ def refresh_corpus(before: Corpus, arrived: DataFrame, documents: DataFrame | No
     return Corpus(*[changes[name].apply(getattr(before, name)) for name in TABLES])
 
 
+def _write(frame: DataFrame, name: str, path: str) -> None:
+    """Documents lie in folders by content hash, so that a batch reads those of its hashes."""
+    if name != "documents":
+        frame.write.mode("overwrite").parquet(path)
+        return
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64("content_hash", F.lit(1)), F.lit(-(-parts // HASH_BUCKETS)))
+    dealt = frame.withColumn("hash_bucket", hash_bucket(F.col("content_hash"))).repartition(parts, "hash_bucket", spread)
+    dealt.sortWithinPartitions("hash_bucket").write.mode("overwrite").partitionBy("hash_bucket").parquet(path)
+
+
 def _write_full(corpus: Corpus, root: str, version: int) -> None:
     for name in TABLES:
-        getattr(corpus, name).write.mode("overwrite").parquet(f"{root}/v{version}/full/{name}")
+        _write(getattr(corpus, name), name, f"{root}/v{version}/full/{name}")
 
 
 def _write_changes(changes: dict[str, Change], root: str, version: int) -> None:
     for name, change in changes.items():
         change.gone.write.mode("overwrite").parquet(f"{root}/v{version}/gone/{name}")
-        change.come.write.mode("overwrite").parquet(f"{root}/v{version}/come/{name}")
+        _write(change.come, name, f"{root}/v{version}/come/{name}")
 
 
 def _is_full(version: int) -> bool:
@@ -115,7 +164,12 @@ def read_corpus(spark: SparkSession, root: str, version: int) -> Corpus:
     later = range(base + 1, version + 1)
 
     def part(kind: str, name: str, at: int) -> DataFrame:
-        return spark.read.parquet(f"{root}/v{at}/{kind}/{name}").withColumn("_version", F.lit(at))
+        path = f"{root}/v{at}/{kind}/{name}"
+        reader = spark.read
+        if name == "documents" and kind != "gone":
+            # Named, since a version without documents has no folder to tell it from.
+            reader = reader.schema(document_schema(spark))
+        return reader.parquet(path).withColumn("_version", F.lit(at))
 
     def read(name: str) -> DataFrame:
         full = part("full", name, base)
@@ -128,7 +182,14 @@ def read_corpus(spark: SparkSession, root: str, version: int) -> Corpus:
         stands = F.col("_last").isNull() | (F.col("_version") >= F.col("_last"))
         return rows.join(last, keys, "left").where(stands).select(*[c for c in full.columns if c != "_version"])
 
-    return Corpus(*[read(name) for name in TABLES])
+    pages, stored, chunks = [read(name) for name in TABLES]
+    return Corpus(pages, stored.drop("hash_bucket"), chunks, stored)
+
+
+def document_schema(spark: SparkSession) -> T.StructType:
+    """Schema of stored documents."""
+    pages = spark.createDataFrame([], PAGE)
+    return consolidate(pages).withColumn("hash_bucket", hash_bucket(F.col("content_hash"))).schema
 
 
 def _versions(spark: SparkSession, root: str) -> Sequence[int]:

@@ -214,7 +214,7 @@ def transcripts(spark, sf_dir):
     CAST(NULL AS VARCHAR) AS substation_name, CAST(NULL AS DOUBLE) AS voltage_class_kv FROM talks""",
 )
 def debriefs(spark, sf_dir):
-    return debrief_chunks(transcripts(spark, sf_dir)).drop("equipment_ids")
+    return debrief_chunks(transcripts(spark, sf_dir)).drop("equipment_ids", "region")
 
 
 @register(

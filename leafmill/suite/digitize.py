@@ -248,7 +248,7 @@ def promote_reviewed(spark, sf_dir):
 )
 def canonical_schema(spark, sf_dir):
     pages = line_pages(files(spark, sf_dir)).withColumnRenamed("path", "source_path")
-    return conform(pages, DOCUMENT).drop("page_text", "equipment_ids")
+    return conform(pages, DOCUMENT).drop("page_text", "equipment_ids", "region")
 
 
 @register(

@@ -261,32 +261,32 @@ def messages(spark, sf_dir):
     return model_input(spark, sf_dir)
 
 
-@register(
-    "message_lists_c3",
-    f"""WITH {MESSAGE_SQL}, history AS (
-      SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, content) - 1) // 4 AS part FROM msgs WHERE place = 1),
+def message_lists_sql(per_part: int) -> str:
+    return f"""WITH {MESSAGE_SQL}, history AS (
+      SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, content) - 1) // {per_part} AS part FROM msgs WHERE place = 1),
     tails AS (SELECT conv_id, max(part) AS tail FROM history GROUP BY 1),
     placed AS (
       SELECT * FROM history
       UNION ALL SELECT msgs.*, unnest(range(coalesce(tail, 0) + 1)) FROM msgs LEFT JOIN tails USING (conv_id) WHERE place <> 1)
     SELECT conv_id, CAST(part AS INTEGER) AS part,
       string_agg(role || ': ' || content, chr(10) ORDER BY place, turn, role, content) AS listed
-    FROM placed GROUP BY conv_id, part""",
-)
+    FROM placed GROUP BY conv_id, part"""
+
+
+@register("message_lists_c3", message_lists_sql(4))
 def message_parts(spark, sf_dir):
     """Message arrays of four turns each, written out as text."""
     return listed(spark, sf_dir, 4)
 
 
-@register(
-    "message_lists_whole_c3",
-    f"""WITH {MESSAGE_SQL}
-    SELECT conv_id, 0 AS part, string_agg(role || ': ' || content, chr(10) ORDER BY place, turn, role, content) AS listed
-    FROM msgs GROUP BY conv_id""",
-)
+# More turns than the conversations here have, and no more than one list should hold.
+LIST_TURNS = 1000
+
+
+@register("message_lists_whole_c3", message_lists_sql(LIST_TURNS))
 def whole_messages(spark, sf_dir):
-    """One list per conversation: no conversation has a million turns."""
-    return listed(spark, sf_dir, 1_000_000)
+    """One list per conversation, or one for every thousand turns of a longer one."""
+    return listed(spark, sf_dir, LIST_TURNS)
 
 
 def listed(spark, sf_dir, per_part):

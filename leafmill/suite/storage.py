@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from leafmill.session import staging_path
 from leafmill.sinks.tables import append_run, ensure_schemas, overwrite_table, read_runs, stamped
-from leafmill.sources.files import decode_text, scan_files, split_decodable
+from leafmill.sources.files import decode_text, located_rejects, scan_files, split_decodable
 from leafmill.suite.common import register, table
 
 # Keeps a landed file small enough to be one row.
@@ -39,6 +39,30 @@ def undecodable_files(spark, sf_dir):
     return rejected.agg(F.count("*").alias("n_rejected"))
 
 
+@register(
+    "located_rejects_s2",
+    """SELECT doc_id, lang <> 'de' AND lang <> 'fr' AS is_read,
+      CASE lang WHEN 'de' THEN 0 WHEN 'fr' THEN octet_length(encode(coalesce(text, ''))) END::BIGINT AS bad_at,
+      CASE lang WHEN 'de' THEN 'UTF-16LE' END AS encoding_mark,
+      CASE WHEN lang <> 'de' AND lang <> 'fr' THEN sha256(coalesce(text, '')) END AS text_hash
+    FROM documents""",
+)
+def rejects(spark, sf_dir):
+    """Every document as a file: German ones in UTF-16, French ones with a byte at the end
+    that is not UTF-8. The others are read, these are rejected, each with its reason."""
+    docs = table(spark, sf_dir, "documents")
+    body = F.coalesce("text", F.lit(""))
+    content = (
+        F.when(F.col("lang") == "de", F.concat(F.unhex(F.lit("FFFE")), F.encode(body, "UTF-16LE")))
+        .when(F.col("lang") == "fr", F.concat(F.encode(body, "UTF-8"), F.unhex(F.lit("FF41"))))
+        .otherwise(F.encode(body, "UTF-8"))
+    )
+    decoded = decode_text(docs.select("doc_id", content.alias("content")))
+    good, _ = split_decodable(decoded)
+    read = good.select("doc_id", F.lit(True).alias("is_read"), F.sha2("text", 256).alias("text_hash"))
+    return read.unionByName(located_rejects(decoded).withColumn("is_read", F.lit(False)), allowMissingColumns=True)
+
+
 @register(
     "written_table_k1_k2_k5_p7",
     "SELECT doc_id, lang, n_chars, true AS is_stamped, (SELECT count(*) FROM documents) AS n_written FROM documents",

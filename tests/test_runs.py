@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import math
 import subprocess
 import sys
+from contextlib import redirect_stdout
 from types import SimpleNamespace
 
 import pandas as pd
@@ -12,6 +15,7 @@ from pyspark import cloudpickle
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from leafmill.operators import models
 from leafmill.operators.evaluate import contains_any, diff_runs, eval_set, kind_counts, latest_run, score_run, summarise_runs
 from leafmill.operators.fields import gate, substation_gate
 from leafmill.operators.keyword import _Block, _scan
@@ -192,3 +196,48 @@ def test_streamed_refresh(spark, tmp_path, rows, monkeypatch):
         files = [(f"file:{landing}{path}.txt", text) for path, text in seen.items()]
         want = full_corpus(pages_of(spark, files))
         assert rows(current_corpus(spark, root).chunks, *want.chunks.columns) == rows(want.chunks)
+
+
+def test_a_small_batch_reads_no_text_of_other_pages(spark, tmp_path):
+    """Of the pages before, narrow columns; of the documents, the folders of the hashes that move."""
+    root, progress, landing = str(tmp_path / "corpus"), str(tmp_path / "progress"), str(tmp_path / "in")
+    frame = spark.createDataFrame([(f"/p{i}", f"text {i}") for i in range(60)] + [("/q", "text 7")], "path string, text string")
+    frame.write.parquet(landing)
+    refresh_from_stream(identify(spark.readStream.schema(frame.schema).parquet(landing)), root, progress, line_elements)
+    before = current_corpus(spark, root)
+    arrived = assemble_pages(line_elements(identify(spark.createDataFrame([("/p7", "other")], "path string, text string"))))
+    out = io.StringIO()
+    changes = refresh.corpus_changes(before, arrived)
+    with redirect_stdout(out):
+        changes["documents"].come.explain("formatted")
+    scans = [part for part in out.getvalue().split("\n\n") if "Scan parquet" in part]
+    pages = [s for s in scans if "/full/pages" in s]
+    stored = [s for s in scans if "/full/documents" in s and "page_text" in s]
+    assert pages and not any("page_text" in s for s in pages)
+    assert stored and all("hash_bucket" in s.split("PartitionFilters", 1)[1].split("\n", 1)[0] for s in stored)
+    # The copy of the old text moves to the other file.
+    assert [(r["source_path"], r["page_text"]) for r in changes["documents"].come.orderBy("source_path").collect()] == [("/p7", "other"), ("/q", "text 7")]
+
+
+def test_a_bad_text_is_found_by_halving(spark):
+    def calls_for(bad, n):
+        counted = []
+
+        def call(texts):
+            counted.append(len(texts))
+            if any(t == "bad" for t in texts):
+                raise ValueError("no")
+            return [len(t) for t in texts]
+
+        batch = pd.DataFrame({"t": ["bad" if i in bad else "fine" for i in range(n)]})
+        rows = models.results_of(call, batch["t"])
+        assert [r["error"] is not None for r in rows] == [i in bad for i in range(n)]
+        assert all(r["value"] == 4 for i, r in enumerate(rows) if i not in bad)
+        return len(counted)
+
+    for n in (1, 2, 100, 1024):
+        assert calls_for({n // 3}, n) <= 2 * math.log2(n) + 1
+        assert calls_for(set(), n) == 1
+    short = models.results_of(lambda texts: [1], pd.Series(["a", "b", "c"]))
+    assert [r["value"] for r in short] == [1, 1, 1]
+    assert "one value per text" in models.results_of(lambda texts: [], pd.Series(["a"]))[0]["error"]
