@@ -140,29 +140,29 @@ WITH split AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ),
 starts AS (
-    SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS at FROM split WHERE len(words) >= 20
+    SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM split WHERE len(words) >= 20
 ),
 windows AS (
-    SELECT doc_id, at, md5(array_to_string(words[at : at + 19], ' ')) AS content FROM starts
+    SELECT doc_id, pos, md5(array_to_string(words[pos : pos + 19], ' ')) AS content FROM starts
 ),
 first AS (
-    SELECT content, min(struct_pack(d := doc_id, a := at)) AS place FROM windows GROUP BY content
+    SELECT content, min(struct_pack(d := doc_id, a := pos)) AS place FROM windows GROUP BY content
 ),
 later AS (
-    SELECT doc_id, at FROM windows JOIN first USING (content) WHERE struct_pack(d := doc_id, a := at) <> place
+    SELECT doc_id, pos FROM windows JOIN first USING (content) WHERE struct_pack(d := doc_id, a := pos) <> place
 ),
 gone AS (
-    SELECT doc_id, list(DISTINCT at + step) AS places FROM later CROSS JOIN range(20) AS r(step) GROUP BY doc_id
+    SELECT doc_id, list(DISTINCT pos + step) AS places FROM later CROSS JOIN range(20) AS r(step) GROUP BY doc_id
 ),
 flat AS (
-    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM split
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM split
 ),
 listed AS (
-    SELECT doc_id, unnest(places) AS at FROM gone
+    SELECT doc_id, unnest(places) AS pos FROM gone
 ),
 kept AS (
-    SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS body, count(*) AS n
-    FROM flat ANTI JOIN listed USING (doc_id, at) GROUP BY doc_id
+    SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS body, count(*) AS n
+    FROM flat ANTI JOIN listed USING (doc_id, pos) GROUP BY doc_id
 )
 SELECT
     doc_id,
