@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import shipped
+from leafmill.llm.common import shipped, tidy
 from leafmill.llm.pretokens import portions
 
 NONE = np.iinfo(np.int32).max
@@ -255,7 +255,7 @@ def encoded(docs: DataFrame, ranks_file: str, pattern: str, text: str = "text",
             yield pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
 
     narrow = docs.select(*(F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(rest)), F.col(text).alias("text"))
-    out = narrow.mapInArrow(encode, ", ".join(f"{n} {t}" for n, t in fields))
+    out = narrow.mapInArrow(tidy(encode), ", ".join(f"{n} {t}" for n, t in fields))
     return out.select(
         *(F.col(f"c{i}").alias(f.name) for i, f in enumerate(rest)), *(n for n, _ in fields[len(rest) :])
     )

@@ -173,6 +173,29 @@ def shipped(spark: SparkSession, value):
     return get
 
 
+def tidy(run):
+    """A task function that gives the memory it no longer needs back to the system at its end.
+
+    Python workers serve one task after another; what allocators keep for later would add
+    up over the stages of a long job.
+    """
+
+    def tidied(batches):
+        yield from run(batches)
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return tidied
+
+
 def maybe_among(frame: DataFrame, key: str, keys: DataFrame, flag: str) -> DataFrame:
     """frame with a boolean ``flag``: false if ``key`` is not in keys (a column of that name).
 
@@ -215,7 +238,7 @@ def packed(frame: DataFrame, text: str, to: str) -> DataFrame:
                 [*(batch.column(name) for name in kept), pa.array(values, pa.binary())], names=[*kept, to]
             )
 
-    return frame.select(*kept, text).mapInArrow(pack, f"{schema}, `{to}` binary")
+    return frame.select(*kept, text).mapInArrow(tidy(pack), f"{schema}, `{to}` binary")
 
 
 def unpacked(value: bytes | None, opener) -> bytes:

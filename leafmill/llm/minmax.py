@@ -34,6 +34,7 @@ from leafmill.llm.common import (
     space_table,
     span_hashes,
     text_bytes,
+    tidy,
     told_apart,
     unpacked,
     word_spans,
@@ -130,7 +131,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, permutations:
                 names=["doc_id", "n_shingles", "node", "bands"],
             )
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(sketch, schema)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(tidy(sketch), schema)
 
 
 def with_sets(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -165,7 +166,7 @@ def with_sets(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str,
     # Only texts that may be asked for are exchanged, compressed.
     asked, _ = told_apart(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", chosen)
     texts = packed(asked, "text", "pack").join(chosen, "doc_id")
-    whole = texts.select("node", "pack").mapInArrow(sets, "node bigint, items array<bigint>")
+    whole = texts.select("node", "pack").mapInArrow(tidy(sets), "node bigint, items array<bigint>")
     return pairs.join(whole.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b").join(
         whole.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a"
     )
@@ -217,7 +218,7 @@ def compared(pairs: DataFrame) -> DataFrame:
             )
 
     schema = "a bigint, b bigint, shared bigint, total bigint, only_a array<bigint>, only_b array<bigint>"
-    return pairs.select("a", "b", "items_a", "items_b").mapInArrow(compare, schema)
+    return pairs.select("a", "b", "items_a", "items_b").mapInArrow(tidy(compare), schema)
 
 
 def bits_in(combine, x: str, y: str) -> Column:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import PIECE, letters, mixed, numbered, opened, packed, powers, slices, text_bytes, told_apart, unpacked
+from leafmill.llm.common import PIECE, letters, mixed, numbered, opened, packed, powers, slices, text_bytes, tidy, told_apart, unpacked
 from leafmill.session import stage
 
 LENGTH = 200
@@ -119,7 +119,7 @@ def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["doc", "anchor", "content", "at", "starts"],
                 )
 
-    return docs.mapInArrow(cut, "doc bigint, anchor bigint, content bigint, at bigint, starts int")
+    return docs.mapInArrow(tidy(cut), "doc bigint, anchor bigint, content bigint, at bigint, starts int")
 
 
 def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +203,7 @@ def found_by_sorting(contents: DataFrame, length: int, keep_first: bool) -> Data
             yield flush()
 
     parts = contents.repartition(int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions")), "anchor").sortWithinPartitions("anchor")
-    return parts.mapInArrow(mark, "doc bigint, begin bigint, end bigint")
+    return parts.mapInArrow(tidy(mark), "doc bigint, begin bigint, end bigint")
 
 
 def cut_again(contents: DataFrame, length: int, gram: int) -> DataFrame:
@@ -234,7 +234,7 @@ def cut_again(contents: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["anchor", "content", "doc", "at", "bytes"],
                 )
 
-    return contents.mapInArrow(cut, "anchor bigint, content bigint, doc bigint, at bigint, bytes binary")
+    return contents.mapInArrow(tidy(cut), "anchor bigint, content bigint, doc bigint, at bigint, bytes binary")
 
 
 def found(contents: DataFrame, length: int, keep_first: bool, grams: tuple[int, ...]) -> DataFrame:
@@ -315,7 +315,7 @@ def repeated_spans(
 
     texts = told_apart(named, "doc", wanted)[0].join(asked, "doc").select("doc", "pack", "asked")
     contents = stage(
-        texts.mapInArrow(fetch, "anchor bigint, doc bigint, at bigint, bytes binary, blocks bigint"), "repeats-contents"
+        texts.mapInArrow(tidy(fetch), "anchor bigint, doc bigint, at bigint, bytes binary, blocks bigint"), "repeats-contents"
     )
     longer = tuple(length - (length - gram) // part for part in (3, 12)) + (length,)
     return whole.union(found(contents, length, keep_first, longer))
@@ -399,4 +399,4 @@ def without_repeats(
                 )
 
     picked = joined.select(*(n for n, _ in fields), "__pack", "begins", "ends")
-    return picked.mapInArrow(cut, schema).select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(rest)), *results)
+    return picked.mapInArrow(tidy(cut), schema).select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(rest)), *results)
