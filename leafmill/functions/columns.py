@@ -63,8 +63,9 @@ def citation_title(path: Column, fallback: Column, page_number: Column) -> Colum
 SHOWN_WITHOUT = "dbfs:"
 
 
-def display_path(path: Column) -> Column:
-    return F.regexp_replace(path, "^" + SHOWN_WITHOUT, "")
+def display_path(path: Column, without: str = SHOWN_WITHOUT) -> Column:
+    """The path without a leading scheme, once."""
+    return F.when(path.startswith(without), F.substring(path, len(without) + 1, 1 << 30)).otherwise(path)
 
 
 def display_score(score: Column) -> Column:

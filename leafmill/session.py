@@ -53,3 +53,15 @@ def stage(frame: DataFrame, label: str) -> DataFrame:
     path = staging_path(spark, label)
     frame.write.mode("errorifexists").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> bool:
+    """Remove all staged tables below the checkpoint folder; whether there were any.
+
+    For the end of a job: frames that read staged tables cannot be computed afterwards, in
+    this session or another that shares the folder. Indexes and corpora kept under a root of
+    the caller's are not touched.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_folder(spark).rstrip('/')}/leafmill-staged")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(path, True)

@@ -17,6 +17,12 @@ def ensure_schemas(spark: SparkSession, names: Sequence[str] = DEFAULT_SCHEMAS,
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
+def drop_schemas(spark: SparkSession, names: Sequence[str]) -> None:
+    """Drop schemas of a finished run, with their tables."""
+    for name in names:
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
+
+
 def stamped(frame: DataFrame, column: str) -> DataFrame:
     """Time of writing. Only sinks stamp, so that results can be compared."""
     return frame.withColumn(column, F.current_timestamp())

@@ -15,14 +15,15 @@ from pyspark import cloudpickle
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from leafmill import session
 from leafmill.operators import models
 from leafmill.operators.evaluate import contains_any, diff_runs, eval_set, kind_counts, latest_run, score_run, summarise_runs
 from leafmill.operators.fields import gate, substation_gate
 from leafmill.operators.keyword import _Block, _scan
 from leafmill.operators.models import model_map
 from leafmill.operators.pages import assemble_pages
-from leafmill.session import checkpoint_folder, stage
-from leafmill.sinks.tables import append_run, ensure_schemas, overwrite_table, read_runs, stamped, write_counted, write_gated
+from leafmill.session import checkpoint_folder, clear_staged, stage
+from leafmill.sinks.tables import append_run, drop_schemas, ensure_schemas, overwrite_table, read_runs, stamped, write_counted, write_gated
 from leafmill.sources.elements import line_elements
 from leafmill.sources.files import decode_text, identify
 from leafmill.streaming import refresh
@@ -241,3 +242,14 @@ def test_a_bad_text_is_found_by_halving(spark):
     short = models.results_of(lambda texts: [1], pd.Series(["a", "b", "c"]))
     assert [r["value"] for r in short] == [1, 1, 1]
     assert "one value per text" in models.results_of(lambda texts: [], pd.Series(["a"]))[0]["error"]
+
+
+def test_cleaning_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "checkpoint_folder", lambda _: f"file://{tmp_path}")
+    assert clear_staged(spark) is False
+    assert stage(spark.range(3), "x").count() == 3
+    assert clear_staged(spark) is True and not (tmp_path / "leafmill-staged").exists()
+    ensure_schemas(spark, ["leafmill_gone"], f"file://{tmp_path}")
+    overwrite_table(spark.range(2), "leafmill_gone.numbers")
+    drop_schemas(spark, ["leafmill_gone", "leafmill_never_there"])
+    assert not spark.catalog.databaseExists("leafmill_gone")
