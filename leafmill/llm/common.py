@@ -219,6 +219,13 @@ def told_apart(frame: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame,
     return tuple(flagged.where(F.col("__maybe") == F.lit(want)).drop("__maybe") for want in (True, False))
 
 
+def without_keys(frame: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of frame whose ``key`` is not among those of keys. Rows that are surely not stay
+    where they are; only the others meet the keys. Nulls are among no keys."""
+    maybe, rest = told_apart(frame, key, keys)
+    return maybe.join(keys.select(key), key, "left_anti").select(*frame.columns).unionByName(rest)
+
+
 def packed(frame: DataFrame, text: str, to: str) -> DataFrame:
     """The frame with a text column compressed as binary ``to``, for exchanges of whole texts.
 
