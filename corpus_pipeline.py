@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.bpe import encoded
-from leafmill.llm.common import numbered, table
+from leafmill.llm.common import numbered, table, without_keys
 from leafmill.llm.leaks import leaks
 from leafmill.llm.minmax import near_duplicates
 from leafmill.llm.quality import THRESHOLD, fitted, scored
@@ -32,10 +32,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are judged one by one: of rows that share an id, different texts all stay.
     """
-    rows = numbered(docs.select(*COLUMNS), "row", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    judged = near_duplicates(rows, doc_id="row")
-    gone = stage(judged.where(~F.col("kept")).select(F.col("doc_id").alias("row")), "pipeline-gone")
-    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
+    rows = numbered(docs.select(*COLUMNS, F.xxhash64("text").alias("hash")), "row")
+    judged = stage(near_duplicates(rows, doc_id="row").select(F.col("doc_id").alias("row"), "component_id"), "pipeline-groups")
+    # The order of a group's rows is found by narrow columns.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "hash", "row")
+    first = judged.join(rows.select("row", "doc_id", "hash"), "row").groupBy("component_id").agg(F.min_by("row", order).alias("stays"))
+    gone = stage(judged.join(first, "component_id").where("row <> stays").select("row"), "pipeline-gone")
+    return without_keys(rows, "row", gone).select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +56,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Rows without a leaked benchmark item, with or without an id."""
     named = docs.select(*COLUMNS, row_key().alias("row"))
     found = stage(leaks(named, table(spark, sf_dir, "benchmark"), doc_id="row").select(F.col("doc_id").alias("row")).distinct(), "pipeline-leaks")
-    return named.join(found, "row", "left_anti").select(*COLUMNS)
+    return without_keys(named, "row", found).select(*COLUMNS)
 
 
 def row_key():
