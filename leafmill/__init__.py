@@ -1,7 +1,9 @@
 """leafmill: documents and transcripts to searchable, cited tables, on Spark.
 
 Every operator is a function from DataFrame to DataFrame. Nothing runs until an
-action does, except where a docstring says that a table is staged.
+action does, except where a docstring says that a table is staged or rows are read:
+ranking, indexes, vector cells, positions in a group, refreshes and merges do so while
+their result is being built.
 """
 
 import sys
