@@ -30,11 +30,14 @@ def file_stream(spark: SparkSession, directory: str, glob: str | None = None) ->
 
 
 def table_stream(spark: SparkSession, directory: str, schema: str, glob: str | None = None) -> DataFrame:
-    """New parquet files of a landing folder as rows."""
+    """New parquet files of a landing folder as rows.
+
+    ``glob`` names files of the folder, or tables there that are folders of files.
+    """
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(directory)
+    # In braces a plain name is a pattern too, which may meet a single file: Spark takes any
+    # other stream path for a folder.
+    return reader.parquet(f"{directory.rstrip('/')}/{{{glob}}}" if glob else directory)
 
 
 def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:

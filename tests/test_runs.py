@@ -27,7 +27,7 @@ from leafmill.sinks.tables import append_run, drop_schemas, ensure_schemas, over
 from leafmill.sources.elements import line_elements
 from leafmill.sources.files import decode_text, identify
 from leafmill.streaming import refresh
-from leafmill.streaming.ingest import file_stream, ingest_text_files
+from leafmill.streaming.ingest import file_stream, ingest, ingest_text_files, table_stream
 from leafmill.streaming.refresh import current_corpus, full_corpus, refresh_corpus, refresh_from_stream
 
 
@@ -253,3 +253,21 @@ def test_cleaning_up(spark, tmp_path, monkeypatch):
     overwrite_table(spark.range(2), "leafmill_gone.numbers")
     drop_schemas(spark, ["leafmill_gone", "leafmill_never_there"])
     assert not spark.catalog.databaseExists("leafmill_gone")
+
+
+@pytest.mark.parametrize("shape", ["a folder of files", "a file"])
+def test_a_table_among_others_is_streamed_whole(spark, tmp_path, rows, shape):
+    landed, made = tmp_path / "landed", tmp_path / "made"
+    spark.createDataFrame([(k, f"t{k}") for k in range(9)], "doc_id bigint, text string").repartition(3).write.parquet(str(made))
+    spark.range(5).write.parquet(str(landed / "labels.parquet"))
+    if shape == "a file":
+        spark.read.parquet(str(made)).coalesce(1).write.parquet(str(tmp_path / "one"))
+        (part,) = (tmp_path / "one").glob("*.parquet")
+        part.rename(landed / "documents.parquet")
+    else:
+        made.rename(landed / "documents.parquet")
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        stream = table_stream(spark, str(landed), "doc_id bigint, text string", "documents.parquet")
+        ingest(stream, lambda r: r, out, str(tmp_path / "progress"))
+    assert rows(spark.read.parquet(out), "doc_id", "text") == [(k, f"t{k}") for k in range(9)]
