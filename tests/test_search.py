@@ -26,6 +26,7 @@ from leafmill.plans.segments import (
     user_hits,
     versions,
 )
+from leafmill.suite.search import ASKED_CHARS, ASKED_EVERY, dense_top6_cells, many_questions
 
 CHUNKS = "chunk_id string, chunk_text string, region string"
 
@@ -246,3 +247,21 @@ def test_repeated_query_ids_count_once(spark, rows, block):
     queries = vectors.select((F.col("chunk_id") % 7).alias("query_id"), "buckets", "weights")
     got = vector_top_k(queries, vectors, 2, 2, block=block)
     assert got.count() == 14 and got.select("query_id", "rank").distinct().count() == 14
+
+
+def test_questions_of_every_fiftieth_document(spark, rows):
+    """All chunks of these documents ask; the number of questions grows with the chunks, not with their square."""
+    made = [(f"{d}_{i}", f"/corpus/src{d % 3}/{d}", f"d{d} c{i} " * 20) for d in range(120) for i in range(2)]
+    held = spark.createDataFrame(made, "chunk_id string, source_path string, chunk_text string")
+    want = [(c, t[:ASKED_CHARS]) for c, p, t in made if int(p.split("/")[-1]) % ASKED_EVERY == 0]
+    assert len(want) == 6 and rows(many_questions(held)) == sorted(want, key=repr)
+
+
+def test_vectors_divisible_by_fifty_ask_among_all(spark, tmp_path):
+    rng = random.Random(4)
+    vectors = [(k, [rng.gauss(0, 1) for _ in range(64)]) for k in range(130)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    hits = dense_top6_cells(spark, str(tmp_path)).collect()
+    assert {r["query_id"] for r in hits} == {0, 50, 100} and len(hits) == 18
+    assert {r["vec_id"] for r in hits if r["rank"] == 1} == {0, 50, 100}
+    assert any(r["vec_id"] % 50 for r in hits)
