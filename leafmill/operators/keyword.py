@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import counted, tokens
@@ -32,7 +33,7 @@ from leafmill.operators.topk import (
     rows_at_a_time,
     tree_ranked,
 )
-from leafmill.session import stage
+from leafmill.session import stage, staging_path
 
 # Usual BM25 constants.
 K1 = 1.2
@@ -48,9 +49,8 @@ MARGIN = 1e-5
 # of the chunks.
 FREQUENT_SHARE = 0.05
 
-# Copies of the query side when frequent terms are joined, so that the postings of
-# one term spread over that many tasks.
-SALTS = 16
+# In the join form, (question, chunk) sums that a task holds at most.
+PAIRS_PER_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -195,105 +195,59 @@ def keyword_top_k(
     return tree_ranked(rows.mapInArrow(_scan(made, k, types), ddl), k)
 
 
-def term_weights(index: KeywordIndex, terms: DataFrame) -> DataFrame:
-    """BM25 weight of every posting of the given terms: term, chunk_id, w, df."""
-    wanted = index.postings.join(terms.select("term").distinct(), "term", "left_semi")
-    df = wanted.groupBy("term").agg(F.count("*").alias("df"))
-    totals = index.rows.agg(F.struct(F.count("*").alias("n"), F.avg("chunk_len").alias("mean")))
-    weighted = wanted.join(df, "term").withColumn("total", totals.scalar())
-    rarity = F.log(1 + (F.col("total.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = K1 * (1 - B + B * F.col("chunk_len") / F.col("total.mean"))
-    return weighted.select(
-        "term",
-        "chunk_id",
-        "df",
-        F.col("total.n").alias("n"),
-        (rarity * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("w"),
-    )
-
-
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("query_id", "chunk_id").agg(F.sum("w").alias("s"))
-
-
-def _salted(chunk_id: Column) -> Column:
-    return F.pmod(F.xxhash64(chunk_id), F.lit(SALTS)).cast("int")
-
-
 def joined_top_k(
     queries: DataFrame,
     index: KeywordIndex,
     k: int = DEFAULT_K,
     frequent_share: float = FREQUENT_SHARE,
     text: str = "query_text",
+    block: int = QUERY_BLOCK,
+    term_block: int = TERM_BLOCK,
 ) -> DataFrame:
     """As ``keyword_top_k`` for question sets of any size, by joins on terms.
 
-    Exact without scoring every chunk that holds a common word. Frequent terms weigh
-    little, and their largest contribution is known. Chunks are first scored on the
-    rarer terms of a question; where the k-th best of these already beats everything
-    the frequent terms could give alone, only chunks close enough to that mark are
-    completed. Questions where this cannot be shown are scored in full, with the
-    postings of a frequent term spread by salt.
-
-    Weights of the question terms' postings are staged once and read by each pass.
+    The index is dealt by chunk once; a block of questions' terms then travels to the
+    postings, so a (question, chunk) pair is summed in the task that has the chunk, and no
+    pair is shuffled. A task has at most PAIRS_PER_TASK of them. The k-th best sum of a
+    question's rarer terms alone is a mark that its k best chunks reach; pairs below it
+    leave before the ranking. Exact for any ``frequent_share``. Question sets beyond a block
+    are answered block by block, each staged.
     """
-    terms = query_terms(queries, text)
-    weights = stage(term_weights(index, terms), "bm25-weights")
-
-    bounds = weights.groupBy("term").agg(
-        F.max("w").alias("top"), (F.first("df") > frequent_share * F.first("n")).alias("frequent")
-    )
-    known = terms.join(bounds, "term")
-    rare_terms = known.where(~F.col("frequent")).select("query_id", "term")
-    frequent_terms = known.where("frequent").select("query_id", "term", "top")
-
-    partial = _summed(weights.select("term", "chunk_id", "w").join(rare_terms, "term"))
-
-    # Per query: the k-th best partial score, and what frequent terms can still add.
-    kth = (
-        partial.withColumn(
-            "r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("s").desc(), F.col("chunk_id")))
-        )
-        .where(F.col("r") <= k)
-        .groupBy("query_id")
-        .agg(F.count("*").alias("found"), F.min("s").alias("floor"))
-        .where(F.col("found") >= k)
-        .select("query_id", "floor")
-    )
-    can_add = frequent_terms.groupBy("query_id").agg(F.sum("top").alias("can_add"))
-    states = (
-        queries.select("query_id")
-        .distinct()
-        .join(can_add, "query_id", "left")
-        .join(kth, "query_id", "left")
-        .select("query_id", F.coalesce("can_add", F.lit(0.0)).alias("can_add"), "floor")
-        .withColumn("settled", F.coalesce(F.col("floor") > F.col("can_add") + MARGIN, F.lit(False)))
-    )
-    settled = states.where("settled").select("query_id", "floor", "can_add")
-    open_queries = states.where(~F.col("settled")).select("query_id")
-
-    # Settled queries: complete the chunks that can still reach the k best.
-    close = partial.join(settled, "query_id").where(F.col("s") + F.col("can_add") >= F.col("floor") - MARGIN)
-    missing = close.select("query_id", "chunk_id").join(frequent_terms.select("query_id", "term"), "query_id")
-    added = missing.join(weights.select("term", "chunk_id", "w"), ["term", "chunk_id"])
-    completed = close.select("query_id", "chunk_id", F.col("s").alias("w")).unionByName(
-        added.select("query_id", "chunk_id", "w")
-    )
-
-    # Open queries: every chunk with any of their terms. Rare terms are scored already;
-    # postings of frequent ones are spread by salt.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    open_terms = frequent_terms.join(open_queries, "query_id", "left_semi").select("query_id", "term", salts)
-    spread = weights.where(F.col("df") > frequent_share * F.col("n")).select(
-        "term", "chunk_id", "w", _salted(F.col("chunk_id")).alias("salt")
-    )
-    full = spread.join(open_terms, ["term", "salt"]).select("query_id", "chunk_id", "w")
-    full = full.unionByName(
-        partial.join(open_queries, "query_id", "left_semi").select("query_id", "chunk_id", F.col("s").alias("w"))
-    )
-
-    scored = _summed(completed.unionByName(full)).select(
-        "query_id", "chunk_id", F.round("s", SCORE_DECIMALS).alias("score")
-    )
-    return ranked(scored, k)
+    spark = queries.sparkSession
+    terms = stage(query_terms(queries, text).where(F.col("query_id").isNotNull()), "joined-terms")
+    held = index.postings.select("term").join(terms.select("term").distinct(), "term", "left_semi")
+    df = held.groupBy("term").agg(F.count("*").alias("df"))
+    total = index.rows.agg(F.count("*").alias("n"), F.avg("chunk_len").alias("mean")).first()
+    n = F.lit(float(total["n"]))
+    rarity = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    frequent = F.col("df") > frequent_share * n
+    asked = stage(terms.join(df, "term").select("query_id", "term", rarity.alias("rarity"), frequent.alias("frequent")), "joined-asked")
+    sizes = asked.agg(F.count_distinct("query_id").alias("questions"), F.count("*").alias("uses")).first()
+    groups = max(1, ceil(sizes["questions"] / block), ceil(sizes["uses"] / term_block))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, ceil(total["n"] * ceil(sizes["questions"] / groups) / PAIRS_PER_TASK))
+    dealt = KeywordIndex(index.rows.select("chunk_id", "chunk_len", "terms").repartition(parts, "chunk_id"))
+    if groups == 1:
+        return _joined_block(asked, dealt, total["mean"], k)
+    path = staging_path(spark, "joined-hits")
+    for g in range(groups):
+        hits = _joined_block(asked.where(F.pmod(F.xxhash64("query_id"), F.lit(groups)) == g), dealt, total["mean"], k)
+        hits.write.mode("append").parquet(path)
+    return spark.read.schema(hits.schema).parquet(path)
+
+
+def _joined_block(asked: DataFrame, dealt: KeywordIndex, mean_len: float, k: int) -> DataFrame:
+    """Ranked hits of a block of (query_id, term, rarity, frequent) rows in an index dealt by chunk."""
+    norm = K1 * (1 - B + B * F.col("chunk_len") / F.lit(mean_len))
+    held = dealt.postings.select("term", "chunk_id", (F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("w"))
+
+    def summed(uses: DataFrame) -> DataFrame:
+        """The sums of a chunk are in one task, so this needs no exchange."""
+        pairs = held.join(F.broadcast(uses.select("query_id", "term", "rarity")), "term")
+        return pairs.groupBy("query_id", "chunk_id").agg(F.sum(F.col("rarity") * F.col("w")).alias("s"))
+
+    rare = summed(asked.where(~F.col("frequent"))).withColumnRenamed("s", "score")
+    marks = ranked(rare, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("mark"))
+    reached = F.col("mark").isNull() | (F.col("s") >= F.col("mark") - MARGIN)
+    near = summed(asked).join(F.broadcast(marks), "query_id", "left").where(reached)
+    return ranked(near.select("query_id", "chunk_id", F.round("s", SCORE_DECIMALS).alias("score")), k)

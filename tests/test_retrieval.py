@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -285,3 +286,16 @@ def test_scan_and_join_agree_on_a_word_of_all_chunks(spark):
     index = build_index(chunks)
     scan, join = (sorted(map(tuple, f(asked, index, 5).collect())) for f in (keyword_top_k, joined_top_k))
     assert scan == join and len(scan) == 5
+
+
+def test_join_form_shuffles_no_pairs(spark):
+    """Every chunk holds every word of every question; pairs are summed where their chunk is."""
+    chunks = spark.range(400).select(F.col("id").cast("string").alias("chunk_id"), F.lit(" ".join(f"w{i}" for i in range(40))).alias("chunk_text"))
+    asked = spark.createDataFrame([(q, " ".join(f"w{i}" for i in range(40))) for q in range(40)], "query_id bigint, query_text string")
+    index = build_index(chunks)
+    got = joined_top_k(asked, index, 1)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query_id" in plan and not re.search(r"hashpartitioning\(query_id#\d+L?, chunk_id#\d+", plan)
+    blocks = joined_top_k(asked, index, 3, block=7)
+    assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, joined_top_k(asked, index, 3).collect()))
