@@ -77,10 +77,15 @@ def _pieces(batch: pa.RecordBatch, dims: int, size: int):
 def build_cells(vectors: DataFrame, dims: int, cells: int = CELLS) -> CellIndex:
     """Cells of (chunk_id, buckets, weights) rows, unit vectors; staged below one folder per cell.
 
-    Of equal vectors one at most is a pivot. The pivots are read here, ``cells`` at most.
+    Of equal vectors one at most is a pivot. The pivots are read here, ``cells`` at most. The
+    vectors are staged once; pivots are drawn by hashes, so no vector is exchanged for that.
     """
     spark = vectors.sparkSession
-    drawn = vectors.groupBy("buckets", "weights").agg(F.min(F.xxhash64("chunk_id")).alias("h")).orderBy("h").limit(cells).collect()
+    vectors = stage(vectors.select("chunk_id", "buckets", "weights"), "cell-vectors")
+    hashed = vectors.select("buckets", "weights", F.xxhash64("buckets", "weights").alias("v"), F.xxhash64("chunk_id").alias("h"))
+    least = hashed.groupBy("v").agg(F.min("h").alias("h")).orderBy("h").limit(cells)
+    met = hashed.join(F.broadcast(least), ["v", "h"])
+    drawn = met.groupBy("v", "h").agg(F.first(F.struct("buckets", "weights")).alias("p")).orderBy("h").select("p.*").collect()
     pivots = np.zeros((len(drawn), dims))
     for i, row in enumerate(drawn):
         pivots[i, row["buckets"]] = row["weights"]
