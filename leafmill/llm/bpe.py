@@ -14,10 +14,11 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import shipped, tidy
+from leafmill.llm.common import shipped, slices, tidy
 from leafmill.llm.pretokens import portions
 
 NONE = np.iinfo(np.int32).max
@@ -26,7 +27,7 @@ NONE = np.iinfo(np.int32).max
 MATRIX_BYTES = 256
 MATRIX_ROWS = 1 << 13
 
-CACHED = 1 << 19
+CACHED = 1 << 18
 CACHED_CHARS = 64
 
 # Characters whose pre-tokens are looked up, and if new encoded, together.
@@ -34,6 +35,9 @@ TOGETHER_CHARS = 1 << 20
 
 PAIR_SLOTS = 1 << 19
 
+# Text whose ids a task holds at a time.
+BATCH_BYTES = 1 << 22
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a .tiktoken file."""
@@ -217,11 +221,18 @@ def encoded(docs: DataFrame, ranks_file: str, pattern: str, text: str = "text",
     fields += [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
     fields += [] if digests_only else [("token_ids", "array<int>")]
 
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Neighbouring rows of about BATCH_BYTES of text: their ids are held until all are encoded."""
+        sizes = pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        for begin, end in slices(offsets, BATCH_BYTES):
+            yield batch.slice(begin, end - begin)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         coder, matcher = Encoder(*shared()), regex.compile(pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut(whole)):
             rows = batch.num_rows
             of_ids, of_text = [hashlib.sha256() for _ in range(rows)], [hashlib.sha256() for _ in range(rows)]
             counts, kept = [0] * rows, [[] for _ in range(rows)]

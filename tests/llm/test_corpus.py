@@ -238,6 +238,17 @@ def test_bpe_equals_the_library_and_round_trips(spark, docs, nothing):
     assert bpe.encoded(nothing, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_holds_ids_of_some_rows_at_a_time(spark, monkeypatch):
+    """Output batches are cut by text, so one batch's ids need not fit a task; no row is lost or changed."""
+    texts = [None, "", "a b", "wörter " * 40, None, "x" * 300, "end"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    whole = sorted(map(tuple, bpe.encoded(frame, path, public_tokenizers.PATTERN).collect()))
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 8)
+    assert sorted(map(tuple, bpe.encoded(frame, path, public_tokenizers.PATTERN).collect())) == whole
+    assert [r[0] for r in whole] == list(range(len(texts))) and whole[0][1] == whole[1][1] == 0
+
+
 def test_phrase_fingerprints(docs, nothing, spark):
     kit, keys = (letters(), *powers()), sorted(TEXTS)
     got = table_of(phrases.neighbour_fingerprints(docs))
