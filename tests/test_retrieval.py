@@ -299,3 +299,17 @@ def test_join_form_shuffles_no_pairs(spark):
     assert "hashpartitioning(query_id" in plan and not re.search(r"hashpartitioning\(query_id#\d+L?, chunk_id#\d+", plan)
     blocks = joined_top_k(asked, index, 3, block=7)
     assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, joined_top_k(asked, index, 3).collect()))
+
+
+def test_texts_of_chunks_without_a_hit_are_not_exchanged(spark):
+    """Chunks meet the broadcast ids of the hits first; a hit whose chunk is gone, or without an id, stays."""
+    made = spark.range(500).select(
+        F.col("id").cast("string").alias("chunk_id"), F.lit("d").alias("doc_id"), F.lit("/p").alias("source_path"),
+        F.lit("k").alias("source_kind"), F.lit(1).alias("page_number"), F.concat(F.lit("text "), "id").alias("chunk_text"),
+    )
+    rows = [(1, "7", 1, 0.5), (1, "gone", 2, 0.4), (2, "7", 1, 0.3), (2, None, 2, 0.2)]
+    got = with_chunks(spark.createDataFrame(rows, "query_id bigint, chunk_id string, rank int, score double"), made)
+    taken = sorted((r["query_id"], r["rank"], r["chunk_id"] or "", r["chunk_text"]) for r in got.collect())
+    assert taken == [(1, 1, "7", "text 7"), (1, 2, "gone", ""), (2, 1, "7", "text 7"), (2, 2, "", "")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin \[chunk_id#\d+\], \[chunk_id#\d+\], LeftSemi", plan)
