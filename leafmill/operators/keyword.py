@@ -30,7 +30,6 @@ from leafmill.operators.topk import (
     RunningBest,
     hit_schema,
     ranked,
-    rows_at_a_time,
     tree_ranked,
 )
 from leafmill.session import stage, staging_path
@@ -42,6 +41,9 @@ B = 0.75
 # Terms of all questions of a block together: bounds what travels to each task.
 TERM_BLOCK = 500_000
 
+# Scores, and weights before they are summed, that a task of the scan holds at a time.
+ENTRIES_AT_A_TIME = 1_000_000
+
 # The margin keeps every chunk that could tie after rounding.
 MARGIN = 1e-5
 
@@ -144,12 +146,18 @@ def _scan(block: _Block, k: int, types: tuple):
             found = pc.index_in(batch.column("words").values, value_set=wanted)
             place = found.fill_null(-1).to_numpy(zero_copy_only=False)
             tf = batch.column("counts").values.to_numpy(zero_copy_only=False).astype(np.float64)
-            size = rows_at_a_time(width)
-            for start in range(0, len(ids), size):
-                stop = min(start + size, len(ids))
+            # Scores and entries up to each row.
+            entries = np.concatenate([[0], np.cumsum(np.where(place >= 0, uses[place], 0))])
+            cost = entries[offsets] + width * np.arange(len(offsets))
+            stop = 0
+            while stop < len(ids):
+                start = stop
+                stop = max(start + 1, int(np.searchsorted(cost, cost[start] + ENTRIES_AT_A_TIME, side="right")) - 1)
                 lo, hi = offsets[start], offsets[stop]
                 owner = np.repeat(np.arange(stop - start), np.diff(offsets[start : stop + 1]))
                 hit = np.flatnonzero(place[lo:hi] >= 0)
+                if not len(hit):
+                    continue
                 term, row, n = place[lo:hi][hit], owner[hit], tf[lo:hi][hit]
                 norm = K1 * (1 - B + B * lens[start:stop][row] / block.mean_len)
                 weight = block.rarity[term] * n * (K1 + 1) / (n + norm)

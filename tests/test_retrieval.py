@@ -21,6 +21,7 @@ from leafmill.operators.context import (
     message_lists,
     message_rows,
 )
+from leafmill.operators import keyword
 from leafmill.operators.hybrid import fuse, with_chunks
 from leafmill.operators.keyword import KeywordIndex, build_index, joined_top_k, keyword_top_k, refresh_index
 from leafmill.operators.topk import RunningBest
@@ -313,3 +314,10 @@ def test_texts_of_chunks_without_a_hit_are_not_exchanged(spark):
     assert taken == [(1, 1, "7", "text 7"), (1, 2, "gone", ""), (2, 1, "7", "text 7"), (2, 2, "", "")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"BroadcastHashJoin \[chunk_id#\d+\], \[chunk_id#\d+\], LeftSemi", plan)
+
+
+def test_the_scan_is_cut_by_what_it_holds(spark, queries, index, monkeypatch):
+    """Pieces of a batch are cut by entries, so common words of many questions do not add up in a task."""
+    expected = listed(keyword_top_k(queries, index, 6))
+    monkeypatch.setattr(keyword, "ENTRIES_AT_A_TIME", 5)
+    assert listed(keyword_top_k(queries, index, 6)) == expected == brute_bm25(corpus(), QUESTIONS, 6)
