@@ -22,7 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import counted, tokens
+from leafmill.functions.text import term_counts, tokens
+from leafmill.operators.chunks import arrived_rows, rows_not_among
 from leafmill.operators.topk import (
     DEFAULT_K,
     QUERY_BLOCK,
@@ -83,7 +84,7 @@ class KeywordIndex:
 def build_index(chunks: DataFrame, text: str = "chunk_text", staged: bool = True) -> KeywordIndex:
     """Index of a chunk table. ``staged`` writes it once, since ranking reads it
     several times."""
-    rows = chunks.select("chunk_id", counted(tokens(F.coalesce(F.col(text), F.lit("")))).alias("terms")).withColumn(
+    rows = chunks.select("chunk_id", term_counts(F.coalesce(F.col(text), F.lit(""))).alias("terms")).withColumn(
         "chunk_len", F.aggregate("terms", F.lit(0), lambda acc, t: acc + t["n"])
     )
     return KeywordIndex(stage(rows, "keyword-index") if staged else rows)
@@ -91,9 +92,11 @@ def build_index(chunks: DataFrame, text: str = "chunk_text", staged: bool = True
 
 def refresh_index(index: KeywordIndex, changes: DataFrame, new_chunks: DataFrame) -> KeywordIndex:
     """Index after a change feed (operators.chunks.diff_chunks): rows of touched
-    chunks go, rows of inserted and updated chunks come. Equals a full rebuild."""
-    arrived = new_chunks.join(changes.where(F.col("change") != "delete").select("chunk_id"), "chunk_id", "left_semi")
-    kept = index.rows.join(changes.select("chunk_id"), "chunk_id", "left_anti")
+    chunks go, rows of inserted and updated chunks come. Equals a full rebuild. What
+    need not meet the feed stays in place, so the index, the feed and the chunks are
+    read several times and should be stored."""
+    kept = rows_not_among(index.rows, "chunk_id", changes)
+    arrived = arrived_rows(new_chunks.select("chunk_id", "chunk_text"), changes)
     return KeywordIndex(kept.unionByName(build_index(arrived, staged=False).rows))
 
 

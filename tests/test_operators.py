@@ -12,6 +12,7 @@ from leafmill.operators.hybrid import with_chunks
 from leafmill.operators.evaluate import score_run
 from pyspark.sql import functions as F
 
+from leafmill.operators import chunks
 from leafmill.operators.chunks import apply_changes, chunk_text, diff_chunks, document_chunks, union_chunks
 from leafmill.operators.consolidate import attach_fields, attach_fields_inline, merge_sources
 from leafmill.operators.debriefs import cues_from_table, debrief_chunks, parse_header, structure
@@ -333,3 +334,17 @@ def test_repeated_responses_do_not_multiply(spark):
     asked = spark.createDataFrame([("q", ["x"])], "request string, expected_contains_any array<string>")
     said = spark.createDataFrame([("q", "x"), ("q", "y")], "request string, response string")
     assert [r.response for r in score_run(asked, said, "r", F.current_timestamp()).collect()] == ["x"]
+
+
+def test_refreshes_leave_wide_rows_in_place(spark, rows, monkeypatch):
+    wide = spark.createDataFrame([(f"k{i % 300}", i) for i in range(400)] + [(None, -1), (None, -2)], "k string, v int").repartition(3)
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(0, 600, 2)] + [("k0",), (None,)], "k string")
+    for words in (chunks.BITMAP_WORDS, 2):  # few words: most keys look alike, and are joined
+        monkeypatch.setattr(chunks, "BITMAP_WORDS", words)
+        inside, outside, unsure = chunks.told_apart(wide, "k", keys)
+        assert (unsure.where("k is not null").count() == 0) == (words > 2)
+        assert rows(chunks.rows_among(wide, "k", keys)) == rows(wide.join(keys, "k", "left_semi"))
+        assert rows(chunks.rows_not_among(wide, "k", keys)) == rows(wide.join(keys, "k", "left_anti"))
+        assert inside.count() + outside.count() + unsure.count() == wide.count()
+    assert chunks.rows_among(wide, "k", keys.limit(0)).count() == 0
+    assert chunks.rows_not_among(wide, "k", keys.limit(0)).count() == wide.count()

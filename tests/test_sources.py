@@ -3,7 +3,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafmill.functions.columns import file_name, page_suffix, path_id, route_kind, safe_name, title_case
-from leafmill.functions.text import counted, sentences, tokens
+from leafmill.functions import text
+from leafmill.functions.text import counted, hash_bucket, hashed_vector, sentences, term_counts, tokens, unit_weights
 from leafmill.functions.typed import to_date, to_double, to_int
 from leafmill.operators.pages import assemble_pages, line_pages
 from leafmill.sources.elements import (
@@ -179,3 +180,19 @@ def test_transcripts_continue_in_parts(spark, rows):
         ("/transcripts/7/3", 3, "user: t4"),
         ("/transcripts/8/1", 1, "user: "),
     ]
+
+
+def test_terms_counted_in_arrow_are_those_counted_in_the_row(spark, monkeypatch):
+    letters = ["a", "B", "1", "é", "日", "𝕏", "-", "--", " ", ".", "\n", "\u0301", "²", "a-"]
+    odd = [("".join(letters[(i * 7 + j * j + i // 5) % len(letters)] for j in range(i % 17)),) for i in range(800)]
+    frame = spark.createDataFrame([*odd, (None,), ("",), ("--",), ("x-x x-x y " * 500,)], "t string").repartition(2)
+    between = r"[^\p{L}\p{N}-]+|-(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])-"
+    words = F.array_remove(F.split(F.lower("t"), between), "")
+    counts = counted(F.transform(words, lambda w: hash_bucket(w, 16)))
+    plain = frame.select("t", counted(words).alias("a"), tokens(F.col("t")).alias("w"), words.alias("v"), counts.alias("c"))
+    plain = plain.select("*", F.transform("c", lambda c: c["value"]).alias("buckets"), unit_weights(F.col("c")).alias("weights"))
+    for together in (text.COUNTED_TOGETHER, 5):
+        monkeypatch.setattr(text, "COUNTED_TOGETHER", together)
+        made = plain.select("*", term_counts(F.col("t")).alias("b"), hashed_vector(F.col("t"), 16).alias("h"))
+        wrong = made.where("not (a <=> b and w <=> v and buckets <=> h.buckets and weights <=> h.weights)")
+        assert made.count() == len(odd) + 4 and wrong.collect() == []
