@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import TOKEN_CHARACTER, hashed_counts, let, unit_weights
+from leafmill.functions.text import TOKEN_CHARACTER, hashed_vector, let
+from leafmill.operators.chunks import arrived_rows, rows_not_among
 from leafmill.operators.topk import (
     DEFAULT_K,
     QUERY_BLOCK,
@@ -35,12 +36,8 @@ DIMS = 1024
 
 def text_vectors(frame: DataFrame, key: str, text: str, dims: int = DIMS) -> DataFrame:
     """key, buckets array<int>, weights array<double>; sparse, of unit length."""
-    counts = hashed_counts(F.col(text), dims)
-    return (
-        frame.where(F.col(text).rlike(TOKEN_CHARACTER))
-        .select(key, counts.alias("counts"))
-        .select(key, F.transform("counts", lambda c: c["value"]).alias("buckets"), unit_weights(F.col("counts")).alias("weights"))
-    )
+    made = frame.where(F.col(text).rlike(TOKEN_CHARACTER)).select(key, hashed_vector(F.col(text), dims).alias("v"))
+    return made.select(key, "v.buckets", "v.weights")
 
 
 def dense_vectors(frame: DataFrame, key: str, vector: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -175,8 +172,7 @@ def vector_top_k_within(
 
 
 def vector_changes(old: DataFrame, changes: DataFrame, new_chunks: DataFrame, dims: int = DIMS) -> DataFrame:
-    """Vector table after a change feed; equals vectors of the new chunk table."""
-    arrived = new_chunks.join(changes.where(F.col("change") != "delete").select("chunk_id"), "chunk_id", "left_semi")
-    return old.join(changes.select("chunk_id"), "chunk_id", "left_anti").unionByName(
-        text_vectors(arrived, "chunk_id", "chunk_text", dims)
-    )
+    """Vector table after a change feed; equals vectors of the new chunk table. The three
+    tables are read several times and should be stored."""
+    arrived = arrived_rows(new_chunks.select("chunk_id", "chunk_text"), changes)
+    return rows_not_among(old, "chunk_id", changes).unionByName(text_vectors(arrived, "chunk_id", "chunk_text", dims))

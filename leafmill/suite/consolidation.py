@@ -391,7 +391,8 @@ def keyword_refreshed(spark, sf_dir):
 )
 def vectors_refreshed(spark, sf_dir):
     old, new, changes = _staged_changes(spark, sf_dir)
-    vectors = vector_changes(text_vectors(old, "chunk_id", "chunk_text"), changes, new)
+    stored = stage(text_vectors(old, "chunk_id", "chunk_text"), "vectors")
+    vectors = vector_changes(stored, changes, new)
     zipped = vectors.select("chunk_id", F.explode(F.arrays_zip("buckets", "weights")).alias("p"))
     return zipped.select("chunk_id", F.col("p.buckets").alias("bucket"), F.round("p.weights", 6).alias("weight"))
 
