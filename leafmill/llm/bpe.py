@@ -31,12 +31,12 @@ CACHED = 1 << 18
 CACHED_CHARS = 64
 
 # Characters whose pre-tokens are looked up, and if new encoded, together.
-TOGETHER_CHARS = 1 << 20
+TOGETHER_CHARS = 1 << 18
 
 PAIR_SLOTS = 1 << 19
 
 # Text whose ids a task holds at a time.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -165,7 +165,9 @@ def with_sets(pairs: DataFrame, docs: DataFrame, sketch: DataFrame, doc_id: str,
 
     # Only texts that may be asked for are exchanged, compressed.
     asked, _ = told_apart(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", chosen)
-    texts = packed(asked, "text", "pack").join(chosen, "doc_id")
+    # Stored in between, lest a task hold a Python worker that packs and another that makes sets:
+    # those that packed would wait, with their memory, through the steps that follow.
+    texts = stage(packed(asked, "text", "pack").join(chosen, "doc_id"), "minmax-texts")
     whole = texts.select("node", "pack").mapInArrow(tidy(sets), "node bigint, items array<bigint>")
     return pairs.join(whole.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b").join(
         whole.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a"

@@ -521,3 +521,16 @@ def test_pipeline_stages_judge_rows_without_an_id_of_their_own(spark, tmp_path):
 def test_registered_queries():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_sets_are_made_in_a_task_without_another_python_step(spark):
+    from pyspark.sql import functions as F
+
+    from leafmill.llm import minmax
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 2 + j) % 40}" for j in range(30))) for i in range(20)], "doc_id bigint, text string")
+    sketch = docs.select("doc_id", (F.col("doc_id") + 100).alias("node"))
+    pairs = spark.createDataFrame([(100, 101), (102, 103)], "a bigint, b bigint")
+    plan = minmax.with_sets(pairs, docs, sketch, "doc_id", "text", 5)._jdf.queryExecution().executedPlan().toString()
+    # By the first column that goes in: of packed texts, not of texts to be packed.
+    assert set(re.findall(r"MapInArrow \w+\((\w+)#", plan)) == {"node"}
