@@ -5,6 +5,7 @@ A start is repeated if the ``length`` bytes from there also start elsewhere.
 1. Every start belongs to an anchor: the leftmost smallest hash among the short grams
    of its string. Equal strings have equal anchors at equal distances. Starts that
    follow each other and share the anchor make a block, the bytes their strings cover.
+   Equal blocks that follow each other, as in text of a short period, are one row, a run.
 2. Anchors seen once are done. Equal blocks of seen anchors are repeated as a whole;
    each distinct block stays once, at its first place.
 3. Distinct blocks of an anchor are compared by suffix order: a task joins blocks to one
@@ -91,8 +92,19 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, kit: t
     return anchor[new].view(np.int64), owner[new], first[new], last[end]
 
 
+def run_heads(row: np.ndarray, anchor: np.ndarray, content: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Places of blocks, in order, that do not go on from an equal block of the same text."""
+    goes_on = begin[1:] == end[:-1] + 1
+    for column in (row, anchor, content, end - begin):
+        goes_on &= column[1:] == column[:-1]
+    return np.flatnonzero(~np.concatenate([[False], goes_on])) if len(begin) else np.zeros(0, np.int64)
+
+
 def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(doc, anchor, content, at, starts): a row per block of (doc, pack) rows."""
+    """(doc, anchor, content, at, starts, run): a row per run of equal blocks of (doc, pack) rows.
+
+    starts is that of one block; the run's blocks begin at ``at``, ``at + starts`` and so on.
+    """
 
     def cut(batches):
         import xxhash
@@ -108,18 +120,20 @@ def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     np.uint64,
                     len(begin),
                 )
+                head = run_heads(row, anchor, content, begin, end)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[row]),
-                        pa.array(anchor),
-                        pa.array(content.view(np.int64)),
-                        pa.array(begin - local[row]),
-                        pa.array((end - begin + 1).astype(np.int32)),
+                        pa.array(ids[row[head]]),
+                        pa.array(anchor[head]),
+                        pa.array(content.view(np.int64)[head]),
+                        pa.array((begin - local[row])[head]),
+                        pa.array((end - begin + 1).astype(np.int32)[head]),
+                        pa.array(np.diff(head, append=len(begin)).astype(np.int32)),
                     ],
-                    names=["doc", "anchor", "content", "at", "starts"],
+                    names=["doc", "anchor", "content", "at", "starts", "run"],
                 )
 
-    return docs.mapInArrow(tidy(cut), "doc bigint, anchor bigint, content bigint, at bigint, starts int")
+    return docs.mapInArrow(tidy(cut), "doc bigint, anchor bigint, content bigint, at bigint, starts int, run int")
 
 
 def suffix_order(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -271,21 +285,26 @@ def repeated_spans(
     all_blocks = anchored(named, length, gram)
     # Written, so that the join has plain exchanges on both sides and can split a hot anchor.
     seen = stage(
-        all_blocks.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"), "repeats-seen"
+        all_blocks.groupBy("anchor").agg(F.sum("run").alias("times")).where("times > 1").select("anchor"), "repeats-seen"
     )
     known = stage(all_blocks.join(seen, "anchor"), "repeats-blocks")
 
     distinct = stage(
         known.groupBy("anchor", "content").agg(
-            F.count("*").alias("times"), F.min(F.struct("doc", "at", "starts")).alias("first")
+            F.sum("run").alias("times"), F.min(F.struct("doc", "at", "starts")).alias("first")
         ),
         "repeats-distinct",
     )
-    # Whole blocks that occur again.
+    # Whole blocks that occur again. A run meets one row, that of its block; the run that has
+    # the first block goes from its second.
     whole = known.join(distinct.where("times > 1"), ["anchor", "content"])
+    begin = F.col("at")
     if keep_first:
-        whole = whole.where("doc <> first.doc OR at <> first.at")
-    whole = whole.select("doc", F.col("at").alias("begin"), (F.col("at") + F.col("starts") + (length - 1)).alias("end"))
+        whole = whole.where("doc <> first.doc OR at <> first.at OR run > 1")
+        begin = F.when(F.expr("doc = first.doc AND at = first.at"), F.col("at") + F.col("starts")).otherwise(begin)
+    whole = whole.select(
+        "doc", begin.alias("begin"), (F.col("at") + F.col("starts").cast("bigint") * F.col("run") + (length - 1)).alias("end")
+    )
 
     # Anchors with several distinct blocks.
     several = distinct.groupBy("anchor").agg(F.count("*").alias("blocks"), F.min("times").alias("least"))

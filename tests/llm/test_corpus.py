@@ -13,10 +13,11 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from leafmill.llm import archives, bpe, counts, language, leaks, minmax, phrases, quality, queries, repeats, shards
-from leafmill.llm.common import letters, powers
+from leafmill.llm.common import letters, packed, powers
 from leafmill.session import checkpoint_folder
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -205,6 +206,44 @@ def test_without_repeats_of_rows_without_an_id_of_their_own(spark, monkeypatch,
     )
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("sorted_blocks", [256, 1])
+def test_repeats_in_texts_of_a_short_period_are_a_few_runs(spark, monkeypatch, keep_first, sorted_blocks):
+    """A text is not a row per period, and runs cover the bytes that their blocks cover."""
+    monkeypatch.setattr(repeats, "SORTED_BLOCKS", sorted_blocks)
+    short, odd = "spam and eggs ", words_of(50, 20) + "\n"
+    assert 69 < len(odd) < 137
+    texts = {
+        1: words_of(51, 30) + short * 150,
+        2: short * 90 + words_of(52, 40) + short * 60,
+        3: odd * 25,
+        4: words_of(53, 40) + odd[7:] + odd * 14 + odd[:30],
+        5: "a" * 700,
+        6: words_of(54, 80) + "a" * 420 + words_of(55, 20),
+        7: "é" * 300,
+        8: odd + odd + odd[:40],
+        9: words_of(56, 90),
+    }
+    frame = spark.createDataFrame(sorted(texts.items()), "doc_id bigint, text string")
+    expected = removed(texts, 200, keep_first)
+    got = table_of(repeats.without_repeats(frame, keep_first=keep_first))
+    assert {k: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for k, r in got.items()} == expected
+    if sorted_blocks == 256:
+        spans = repeats.repeated_spans(packed(frame, "text", "pack"), F.col("doc_id"), F.col("pack"), keep_first=keep_first)
+        assert sum(v[1] > 0 for v in expected.values()) <= spans.count() <= 60
+
+
+def test_run_heads():
+    """Equal blocks are one run where they touch in one text."""
+    row = np.array([0, 0, 0, 0, 0, 1, 1, 1])
+    anchor = np.array([7, 7, 7, 7, 7, 7, 7, 8])
+    content = np.array([1, 1, 1, 2, 1, 1, 1, 1])
+    begin = np.array([0, 3, 6, 9, 11, 14, 18, 21])
+    end = np.array([2, 5, 8, 10, 13, 16, 20, 23])
+    assert repeats.run_heads(row, anchor, content, begin, end).tolist() == [0, 3, 4, 5, 6, 7]
+    assert repeats.run_heads(*(np.zeros(0, np.int64) for _ in range(5))).tolist() == []
+
+
 def test_token_counts(docs, nothing):
     from tokenizers import Tokenizer
 
