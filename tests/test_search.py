@@ -26,7 +26,7 @@ from leafmill.plans.segments import (
     user_hits,
     versions,
 )
-from leafmill.suite.search import ASKED_EVERY, dense_top6_cells, many_questions
+from leafmill.suite.search import dense_top6_cells, many_questions
 
 CHUNKS = "chunk_id string, chunk_text string, region string"
 
@@ -256,11 +256,10 @@ def test_every_chunk_asks(spark, rows):
     assert rows(many_questions(held)) == sorted([(c, t[:60]) for c, _, t in made], key=repr)
 
 
-def test_vectors_divisible_by_fifty_ask_among_all(spark, tmp_path):
+def test_every_vector_asks_among_all(spark, tmp_path):
     rng = random.Random(4)
     vectors = [(k, [rng.gauss(0, 1) for _ in range(64)]) for k in range(130)]
     spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     hits = dense_top6_cells(spark, str(tmp_path)).collect()
-    assert {r["query_id"] for r in hits} == {0, 50, 100} and len(hits) == 18
-    assert {r["vec_id"] for r in hits if r["rank"] == 1} == {0, 50, 100}
-    assert any(r["vec_id"] % 50 for r in hits)
+    assert {r["query_id"] for r in hits} == set(range(130)) and len(hits) == 780
+    assert all(r["vec_id"] == r["query_id"] for r in hits if r["rank"] == 1)
