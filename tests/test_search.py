@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import random
 from contextlib import redirect_stdout
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.operators import blocks
-from leafmill.operators.blocks import block_top_k, build_blocks
+from leafmill.operators.blocks import block_rows, block_top_k, build_blocks, deal_blocks, forward_rows, term_rows
 from leafmill.operators.cells import build_cells, cell_top_k
 from leafmill.operators.chunks import diff_chunks
 from leafmill.operators.keyword import build_index, keyword_top_k
@@ -26,7 +27,8 @@ from leafmill.plans.segments import (
     user_hits,
     versions,
 )
-from leafmill.suite.search import dense_top6_cells, many_questions
+from leafmill.session import checkpoint_folder, freed_exchanges, staged
+from leafmill.suite.search import dense_top6_cells, many_questions, refreshed
 
 CHUNKS = "chunk_id string, chunk_text string, region string"
 
@@ -263,3 +265,59 @@ def test_every_vector_asks_among_all(spark, tmp_path):
     hits = dense_top6_cells(spark, str(tmp_path)).collect()
     assert {r["query_id"] for r in hits} == set(range(130)) and len(hits) == 780
     assert all(r["vec_id"] == r["query_id"] for r in hits if r["rank"] == 1)
+
+
+def test_nothing_gone_exchanges_nothing(spark, tmp_path):
+    """The join with an empty table exchanged every row of the index."""
+    create_index(spark.createDataFrame([("a", "one", None)], CHUNKS), str(tmp_path / "index"))
+    assert "Join" not in plan_of(open_index(spark, str(tmp_path / "index")).alive)
+
+
+def test_dealt_blocks_and_their_terms(spark, rows, small, monkeypatch):
+    monkeypatch.setattr(blocks, "PACKED_TOGETHER", 50)
+    listed = corpus(spark, 14, 300)
+    forward = forward_rows(spark.createDataFrame(listed, CHUNKS), 3, label="region").localCheckpoint()
+    made = block_rows(forward)
+    dealt = deal_blocks(made)
+    assert rows(dealt) == rows(made) and dealt.rdd.getNumPartitions() == 4
+    # By hand: a term's postings, and the best four of each block, of these the best CHAMPIONS.
+    want: dict = {}
+    for r in forward.collect():
+        for t in r["terms"]:
+            want.setdefault(t["value"], []).append((-t["n"], r["chunk_len"], r["number"], r["label"]))
+    got = term_rows(dealt).collect()
+    assert {r["term"]: r["df"] for r in got} == {t: len(p) for t, p in want.items()} and len(got) == len(want)
+    assert max(map(len, want.values())) > 2 * blocks.CHAMPIONS
+    for r in got:
+        best: dict = {}
+        for p in want[r["term"]]:
+            best.setdefault(p[2] >> 3, []).append(p)
+        kept = [(-c["count"], c["len"], c["number"], c["label"]) for c in r["champions"]]
+        least = min(blocks.CHAMPIONS, sum(min(len(b), blocks.CHAMPIONS_PER_BLOCK) for b in best.values()))
+        assert len(kept) == len(set(kept)) == least and kept == sorted(kept, key=lambda p: p[:3]) and set(kept) <= set(want[r["term"]])
+
+
+def shuffle_files(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def test_exchanges_and_chunk_tables_go_with_their_last_reader(spark, tmp_path):
+    dealt = spark.range(1000).repartition(5)
+    before = shuffle_files(spark)
+    with freed_exchanges(spark):
+        dealt.write.parquet(str(tmp_path / "freed"))
+    assert shuffle_files(spark) <= before
+    with staged(dealt, "chunks") as held:
+        place = held.inputFiles()[0].split("://")[-1].replace("file:", "").rsplit("/", 1)[0]
+        assert held.count() == 1000 and os.path.isdir(place)
+    assert not os.path.exists(place)
+
+
+def test_a_refreshed_index_holds_no_chunk_table(spark, tmp_path):
+    said = [(k, f"line {k} of text\nle mot {k}", ("en", "es", "fr")[k % 3], f"src{k % 2}", 20) for k in range(12)]
+    spark.createDataFrame(said, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
+    folder = checkpoint_folder(spark).replace("file:", "") + "/leafmill-staged"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    index = open_index(spark, refreshed(spark, str(tmp_path)))
+    assert index.alive.count() == 12 and index.gone.count() == 4
+    assert not {n for n in set(os.listdir(folder)) - before if n.startswith(("chunks", "segment-blocks"))}
